@@ -5,9 +5,12 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -32,6 +35,29 @@ def materialize(df: DataFrame, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once a Spark context."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).parents[1]
+    target = f"{tempfile.mkdtemp(prefix='sparkfolio-')}/{root.name}.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    context.addPyFile(target)
+    _SHIPPED.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+    """df.mapInArrow(run, schema), with this package at hand on the executors."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark's cleaner drop the shuffle files of plans that nothing refers to any more."""
     gc.collect()
@@ -54,7 +80,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def pieces(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20):
     """Slices of the batch of at most max_bytes of text, or of one row."""
-    lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(lengths, dtype=np.int64)
     start = 0
     while start < len(lengths):

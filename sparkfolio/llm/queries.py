@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import reshard
+from . import rans, reshard
 
 QUERIES = {
+    "op9_rans_ids": rans.query,
     "op5_mincost_reshard": reshard.query,
 }
 
