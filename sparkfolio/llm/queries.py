@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from . import rans, reshard
+from . import host_rules, langid, rans, reshard
 
 QUERIES = {
+    "op3_host_rules": host_rules.query,
+    "op4_language_bitmasks": langid.query,
     "op9_rans_ids": rans.query,
     "op5_mincost_reshard": reshard.query,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_host_rules": host_rules.ORACLE_SQL,
+}
