@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import automata, decontam, host_rules, langid, minhash, quotes, rans, reshard
+from . import automata, decontam, host_rules, langid, minhash, quotes, rans, reshard, suffix
 
 QUERIES = {
     "op1_pigeonhole_decontam": decontam.query,
     "op2_quotation_links": quotes.query,
     "op3_host_rules": host_rules.query,
     "op4_language_bitmasks": langid.query,
+    "op6_induced_sorting": suffix.query,
     "op7_minhash_stars": minhash.query,
     "op9_rans_ids": rans.query,
     "op10_suffix_automata": automata.query,

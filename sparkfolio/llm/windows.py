@@ -6,8 +6,8 @@
    and then; of it one row a slice goes on to the others' detection, so a passage that a third of all documents hold is
    no hot key.
 2. The chunks left are cut from the texts; equal chunks of an anchor are one, with the smallest id that has it.
-3. Chunks of an anchor that differ go to a kernel, in shards of many anchors: for each window it returns the smallest id
-   of any chunk that contains it. Equal windows share an anchor, so shards need nothing of each other.
+3. Chunks of an anchor that differ, but may have a window in common (their windows' hashes are compared), go to a kernel,
+   in shards of many anchors: for each window it returns the smallest id of any chunk that contains it. Equal windows share an anchor, so shards need nothing of each other.
 4. The answers join the chunks' occurrences; windows whose owner is smaller than the document cover what goes.
 
 Rows without an id neither lose nor own anything. Repeated rows of one id do not lose to each other.
@@ -192,16 +192,39 @@ def _cut(docs: DataFrame, shared: DataFrame, kind: str, window: int) -> DataFram
 _RUNS = "array<struct<a:int,b:int,owner:long>>"
 
 
-def _owners(chunks: DataFrame, kernel: Kernel, partitions: int) -> DataFrame:
+def _mixed(kind: str, contents: list[bytes], counts: np.ndarray, window: int) -> np.ndarray:
+    """Which contents may have a window in common with another, by the windows' hashes; the kernel decides on those."""
+    units = Units(kind, pa.array(contents, pa.binary()))
+    sums = common.prefix_hash(units.data)
+    if kind == "words":
+        h = common.run_hash(sums, units.starts, units.ends)
+        sums = np.zeros(len(h) + 1, np.uint64)
+        with np.errstate(over="ignore"):
+            np.cumsum(h * common.powers(common._BASE, len(h)), out=sums[1:])
+    row = np.repeat(np.arange(len(contents)), counts)
+    at = units.first[row] + np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+    hashes = common.run_hash(sums, at, at + window)
+    order = np.argsort(hashes, kind="stable")
+    hashes, row = hashes[order], row[order]
+    lead = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+    last = np.append(lead[1:], len(row)) - 1
+    several = np.repeat(row[lead] != row[last], last - lead + 1)
+    out = np.zeros(len(contents), bool)
+    out[row[several]] = True
+    return out
+
+
+def _owners(chunks: DataFrame, kind: str, window: int, kernel: Kernel, partitions: int) -> DataFrame:
     """(anchor, hash, runs): the owner of each run of windows of each distinct chunk."""
     # max() passes over the nulls of the other slices; equal hashes hold equal contents
     distinct = chunks.groupBy("anchor", "hash").agg(F.min("doc").alias("owner"), F.max("content").alias("content"), F.max("n").alias("n"))
 
     def answer(x: list[tuple]) -> pa.RecordBatch:
-        """x: (anchor, hash, owner, content, n), anchors together."""
-        alone = [len(x) == 1 or (i == 0 or x[i - 1][0] != x[i][0]) and (i == len(x) - 1 or x[i + 1][0] != x[i][0]) for i in range(len(x))]
+        """x: (anchor, hash, owner, content, n), anchors together. Chunks with no window in common with another own theirs."""
+        counts = np.array([r[4] for r in x], np.int64)
+        alone = ~_mixed(kind, [r[3] for r in x], counts, window)
         some = [r for r, one in zip(x, alone, strict=True) if not one]
-        found = iter(kernel([r[3] for r in some], np.array([r[2] for r in some], np.int64), np.array([r[4] for r in some], np.int64)) if some else [])
+        found = iter(kernel([r[3] for r in some], np.array([r[2] for r in some], np.int64), counts[~alone]) if some else [])
         runs = []
         for r, one in zip(x, alone, strict=True):
             if one:
@@ -210,8 +233,8 @@ def _owners(chunks: DataFrame, kernel: Kernel, partitions: int) -> DataFrame:
             owner = next(found)
             lead = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
             runs.append([{"a": a, "b": b, "owner": o} for a, b, o in zip(lead.tolist(), [*lead[1:].tolist(), len(owner)], owner[lead].tolist(), strict=True)])
-        kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("owner", pa.int64())]))
-        return pa.record_batch([pa.array([r[0] for r in x], pa.int64()), pa.array([r[1] for r in x], pa.int64()), pa.array(runs, kind)], names=["anchor", "hash", "runs"])
+        runs_type = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("owner", pa.int64())]))
+        return pa.record_batch([pa.array([r[0] for r in x], pa.int64()), pa.array([r[1] for r in x], pa.int64()), pa.array(runs, runs_type)], names=["anchor", "hash", "runs"])
 
     def run(batches):
         held, size = [], 0
@@ -236,7 +259,7 @@ def spans(docs: DataFrame, kind: str, window: int, k: int, kernel: Kernel) -> Da
     common.release(spark)
     chunks = common.materialize(_cut(docs, shared, kind, window))
     common.release(spark)
-    owners = common.materialize(_owners(chunks, kernel, partitions))
+    owners = common.materialize(_owners(chunks, kind, window, kernel, partitions))
     common.release(spark)
     lost = F.filter("runs", lambda r: r.owner < F.col("doc"))
     cover = F.transform(lost, lambda r: F.struct((F.col("start") + r.a).alias("a"), (F.col("start") + r.b - 1 + window).alias("b")))
