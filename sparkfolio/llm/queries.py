@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import automata, decontam, host_rules, langid, minhash, quotes, rans, reshard, suffix
+from . import automata, bpe, decontam, host_rules, langid, minhash, quotes, rans, reshard, suffix
 
 QUERIES = {
     "op1_pigeonhole_decontam": decontam.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_language_bitmasks": langid.query,
     "op6_induced_sorting": suffix.query,
     "op7_minhash_stars": minhash.query,
+    "op8_bpe_fold": bpe.query,
     "op9_rans_ids": rans.query,
     "op10_suffix_automata": automata.query,
     "op5_mincost_reshard": reshard.query,
