@@ -169,7 +169,8 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
         for batch in batches:
             for some in common.pieces(batch, "text"):
                 units = windows.Units("words", some.column("text"))
-                texts, sizes = some.column("text").to_pylist(), some.column("n_chars").to_pylist()
+                texts = some.column("text").to_pylist()
+                sizes = some.column("n_chars").to_pylist() if "n_chars" in schema.names else [None] * len(texts)
                 edges = units.starts.tolist()
                 for i, cover in enumerate(some.column("_cover").to_pylist()):
                     if not cover:
