@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 import struct
+import unicodedata
 import zlib
 
 import numpy as np
@@ -119,30 +120,54 @@ def decode(payload: bytes, freq: np.ndarray, first: int = 0, last: int | None =
 # --- tokens -----------------------------------------------------------------------------------
 
 
-class WordCache:
-    """Ids of space-separated pieces of text. The tokenizer drops white space, so that pieces between
-    spaces are encoded alone; pieces seen lately are kept, at most `most` of them."""
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: printable ones for themselves, the rest from U+0100 on."""
+    out, spare = {}, 256
+    for b in range(256):
+        if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174:
+            out[b] = chr(b)
+        else:
+            out[b], spare = chr(spare), spare + 1
+    return out
+
+
+class WordCache(dict):
+    """Ids (little-endian, unsigned 32-bit) of pieces of text between spaces. The tokenizer drops white space and no rule of
+    its reaches across it, so that pieces are encoded alone; those seen lately are kept, about `most` of them.
+
+    Plain words go straight to the tokenizer's model: letters below U+0250 in composed form are one piece to it, in lower
+    case, and so is a punctuation mark after them. All else goes through the whole tokenizer."""
 
     def __init__(self, path: str, most: int = 1 << 19):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {"": b""}
         self.most = most
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > self.most:
-            self.known = {"": b""}
-        known = self.known
-        missing = list({w for words in split for w in words if w not in known})
-        for at in range(0, len(missing), 4096):
-            some = missing[at : at + 4096]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([known[w] for w in words]) for words in split]
+        self.letters = _byte_letters()
+        self.model = self.tokenizer.model
+
+    def __missing__(self, word: str) -> bytes:
+        if word.isalpha() and max(word) < "\u0250" and "\u0130" not in word and unicodedata.is_normalized("NFC", word):
+            low = word.lower()
+            if low != word:
+                found = self[low]
+            else:
+                plain = low if low.isascii() else low.encode().decode("latin-1").translate(self.letters)
+                found = np.array([t.id for t in self.model.tokenize(plain)], "<u4").tobytes()
+        elif len(word) > 1 and word[-1] in ".,;:!?" and word[:-1].isalpha():
+            found = self[word[:-1]] + self[word[-1]]
+        else:
+            found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        self[word] = found
+        return found
+
+    def encode(self, text: str) -> bytes:
+        if len(self) > self.most:
+            self.clear()
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 _CACHES: dict[str, WordCache] = {}
@@ -168,8 +193,8 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, partitions:
 
         for batch in batches:
             for some in common.pieces(batch, "text"):
-                texts = [t or "" for t in some.column("text").to_pylist()]
-                for d, x in zip(some.column("doc_id").to_pylist(), cache.encode(texts), strict=True):
+                for d, text in zip(some.column("doc_id").to_pylist(), some.column("text").to_pylist(), strict=True):
+                    x = cache.encode(text or "")
                     held.append((d, x + end))
                     size += len(x) // 4 + 1
                     if size >= BLOCK:
