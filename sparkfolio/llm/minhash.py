@@ -29,6 +29,8 @@ BINS = 128
 SMALL = 100
 #: Rounds without a new link after which the search for further centres ends.
 QUIET_ROUNDS = 1
+#: Up to so many ids whose sets are wanted are broadcast to the texts; more are joined by a shuffle.
+BROADCAST_IDS = 100_000
 _ORDER = np.argsort(np.random.default_rng(4242).random((BINS, BINS)), axis=1)
 _BIN_SHIFT = np.uint64(64 - BINS.bit_length() + 1)
 
@@ -168,12 +170,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80) -> Dat
     classes = common.materialize(classes)
     reps = marked.join(classes.withColumnRenamed("id", "doc_id"), ["set_key", "doc_id"], "left_semi").dropDuplicates(["doc_id"])
     reps = common.materialize(reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "buckets"))
+    every = reps.select("id", "n", F.explode("buckets").alias("bucket"))
+    several = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("bucket")
+    live = common.materialize(every.join(several, "bucket", "left_semi"))
+    common.release(spark)
     links, tested, sets, labels, quiet, k = None, None, None, None, 0, 0
     while True:
-        at = reps.withColumn("component", F.col("id"))
+        entries = live.withColumn("component", F.col("id"))
         if labels is not None:
-            at = reps.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        entries = at.select("id", "n", "component", F.explode("buckets").alias("bucket"))
+            entries = live.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+            mixed = entries.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
+            entries = common.materialize(entries.join(mixed, "bucket", "left_semi"))
+            live = entries.select("id", "n", "bucket")
         found = _candidates(entries, F.col("id") if not k else F.xxhash64("id", F.lit(k)), threshold)
         edges = common.materialize(found if tested is None else found.join(tested, ["a", "b"], "left_anti"))
         tested = edges if tested is None else tested.union(edges)
@@ -182,6 +190,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80) -> Dat
         wanted = edges.select(F.col("a").alias("id")).union(edges.select(F.col("b").alias("id"))).distinct()
         if sets is not None:
             wanted = wanted.join(sets.select("id"), "id", "left_anti")
+        wanted = common.materialize(wanted)
+        if wanted.count() <= BROADCAST_IDS:
+            wanted = F.broadcast(wanted)
         texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id", "left_semi").dropDuplicates(["id"])
         more = common.materialize(full_sets(texts, words))
         sets = more if sets is None else sets.union(more)
