@@ -1,0 +1,38 @@
+"""Scores against a gold set: sums first, ratios last."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def ratio(n: Column, d: Column, digits: int = 6) -> Column:
+    """n / d to some digits, null over zero."""
+    return F.round(n.cast("double") / F.when(d != 0, d).cast("double"), digits)
+
+
+def scores(rows: DataFrame, said: Column, true: Column, by: list[str]) -> DataFrame:
+    """tp, fp, fn and precision, recall and f1, overall (`all`) and by each column, in one pass over grouping sets."""
+    base = rows.select(*(F.col(c).cast("string").alias(c) for c in by), (said & true).alias("tp"), (said & ~true).alias("fp"), (~said & true).alias("fn"))
+    sets = [[], *[[c] for c in by]]
+    grouped = base.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in by]).agg(F.grouping_id().alias("g"), *(F.count_if(c).alias(c) for c in ("tp", "fp", "fn")))
+    full = (1 << len(by)) - 1
+    kind, value = F.when(F.col("g") == full, "all"), F.when(F.col("g") == full, "all")
+    for i, c in enumerate(by):
+        g = full & ~(1 << (len(by) - 1 - i))
+        kind, value = kind.when(F.col("g") == g, c), value.when(F.col("g") == g, F.col(c))
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    return grouped.select(kind.alias("kind"), value.alias("value"), "tp", "fp", "fn", ratio(tp, tp + fp).alias("precision"), ratio(tp, tp + fn).alias("recall"), ratio(2 * tp, 2 * tp + fp + fn).alias("f1"))
+
+
+def multiset_recall(pairs: DataFrame, key: str, found: DataFrame, wanted: DataFrame, token: str) -> DataFrame:
+    """(key, hits, wanted): size of the multiset intersection of tokens, and of the wanted ones."""
+    a = found.groupBy(key, token).agg(F.count(F.lit(1)).alias("a"))
+    b = wanted.groupBy(key, token).agg(F.count(F.lit(1)).alias("b"))
+    per = b.join(a, [key, token], "left").groupBy(key).agg(F.sum(F.least("b", F.coalesce("a", F.lit(0)))).alias("hits"), F.sum("b").alias("wanted"))
+    return pairs.select(key).distinct().join(per, key)
+
+
+def compare(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Failures by their keys: resolved (gone) and new, each as often as they differ."""
+    return before.exceptAll(after).withColumn("change", F.lit("resolved")).unionByName(after.exceptAll(before).withColumn("change", F.lit("new")))
