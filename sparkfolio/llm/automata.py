@@ -188,3 +188,14 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     others = [c for c in docs.columns if c != "doc_id"]
     return common.map_arrow(windows.joined(docs, word_spans(docs), *others).select(*docs.columns, "_cover"), run, schema)
+
+
+ORACLE_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS k FROM d, LATERAL (SELECT unnest(range(1, len(w) - 48)) AS i)),
+own AS (SELECT k, min(doc_id) AS o FROM win GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM win JOIN own USING (k) WHERE o < doc_id),
+word AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
+"""
