@@ -279,12 +279,15 @@ def q31_chronology(spark, d) -> DataFrame:
     return evidence.after_all(table(spark, d, "events"), "user_id", "event_type", "ts", "view", "signup")
 
 
-@query("""WITH l AS (SELECT DISTINCT concat_ws('/', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, l_orderkey AS doc, l_linenumber // 3 AS sect, CAST(l_shipdate AS DATE) AS day, l_returnflag = 'N' AS sub FROM lineitem)
+@query("""WITH l AS (SELECT concat_ws('/', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, l_orderkey AS doc, l_linenumber // 3 AS sect, CAST(min(l_shipdate) AS DATE) AS day, min(l_returnflag) = 'N' AS sub
+    FROM lineitem GROUP BY l_orderkey, l_linenumber, l_partkey, l_suppkey)
   SELECT a.id, count(b.id) AS n_peers FROM l a LEFT JOIN l b ON b.doc = a.doc AND b.id <> a.id AND (b.sect = a.sect OR (b.day = a.day AND b.sub)) GROUP BY a.id""")
 def q32_context_peers(spark, d) -> DataFrame:
-    key = F.concat_ws("/", *(F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")))
+    parts = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    key = F.concat_ws("/", *(F.col(c).cast("string") for c in parts))
     sect = F.floor(F.col("l_linenumber") / 3)
-    rows = table(spark, d, "lineitem").select(key.alias("id"), F.col("l_orderkey").alias("doc"), sect.alias("sect"), F.to_date("l_shipdate").alias("day"), F.col("l_returnflag")).distinct()
+    lines = table(spark, d, "lineitem").groupBy(*parts).agg(F.min("l_shipdate").alias("l_shipdate"), F.min("l_returnflag").alias("l_returnflag"))
+    rows = lines.select(key.alias("id"), F.col("l_orderkey").alias("doc"), sect.alias("sect"), F.to_date("l_shipdate").alias("day"), F.col("l_returnflag"))
     return evidence.peers(rows, "id", ["doc", "sect"], ["doc", "day"], F.col("l_returnflag") == "N")
 
 
