@@ -25,8 +25,8 @@ def normalize_identifier(value: Column, placeholders: tuple[str, ...] = ("", "-"
 def normalize_text(text: Column) -> Column:
     """NFKC, one kind of line end, no zero-width characters, single blanks, at most one empty line, trimmed."""
     t = nfkc(F.regexp_replace(text, "\r\n?", "\n"))
-    t = F.regexp_replace(t, "[​-‍⁠﻿]", "")
-    t = F.regexp_replace(t, "[\\t\\x0B\\f  　]+", " ")
+    t = F.regexp_replace(t, "[\u200B-\u200D\u2060\uFEFF]", "")
+    t = F.regexp_replace(t, "[\\t\\x0B\\f \u00A0\u3000]+", " ")
     return F.trim(F.regexp_replace(F.regexp_replace(t, " ?\n ?", "\n"), "\n{3,}", "\n\n"))
 
 
