@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from . import common
 
 PRECISION = 20
-LANES = 32
+LANES = 64
 STEPS = 512
 SEGMENT = LANES * STEPS
 BLOCK = 16 * SEGMENT
