@@ -9,7 +9,8 @@ are at most so many) are folded once and bound likewise; the words of a text are
 where they are not. Ids are decoded by the pieces of the vocabulary, joined and turned to bytes again.
 
 Nulls and empty texts have no ids. Empty tables give no rows. A word in many texts is counted by partial sums, so no row
-gathers. The fold's cost grows with the square of a word's length (not of a text's). Extra columns are not read.
+gathers. The fold's cost grows with the square of a word's length (not of a text's). Repeated rows are encoded alike, ties of
+rank go to the leftmost pair. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -167,5 +168,5 @@ def query(spark, sf_dir: str, path: str | None = None) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str, path: str | None = None) -> DataFrame:
-    """The documents with their ids."""
+    """The documents with their ids; a column `ids` that they have already is replaced."""
     return encode(docs, Vocabulary(spark, _path(path)))
