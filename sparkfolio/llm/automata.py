@@ -145,7 +145,7 @@ def digests(docs: DataFrame, found: DataFrame) -> DataFrame:
                 units = windows.Units("words", some.column("text"))
                 data, rows = units.data.tobytes(), []
                 starts, ends = units.starts.tolist(), units.ends.tolist()
-                for i, cover in enumerate(some.column("_cover").to_pylist()):
+                for i, cover in enumerate(some.column("_sparkfolio_cover").to_pylist()):
                     keep, first, last = _kept(units, i, cover)
                     words = [data[starts[j] : ends[j]] for j in (np.flatnonzero(keep) + first).tolist()]
                     rows.append((len(keep), len(keep) - len(words), hashlib.sha256(b" ".join(words)).hexdigest()))
@@ -172,7 +172,7 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
                 texts = some.column("text").to_pylist()
                 sizes = some.column("n_chars").to_pylist() if "n_chars" in schema.names else [None] * len(texts)
                 edges = units.starts.tolist()
-                for i, cover in enumerate(some.column("_cover").to_pylist()):
+                for i, cover in enumerate(some.column("_sparkfolio_cover").to_pylist()):
                     if not cover:
                         continue
                     keep, first, last = _kept(units, i, cover)
@@ -187,7 +187,7 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
                 yield pa.record_batch([{"text": pa.array(texts, pa.string()), "n_chars": pa.array(sizes, pa.int64())}.get(f.name, some.column(f.name)) for f in schema], names=schema.names)
 
     others = [c for c in docs.columns if c != "doc_id"]
-    return common.map_arrow(windows.joined(docs, word_spans(docs), *others).select(*docs.columns, "_cover"), run, schema)
+    return common.map_arrow(windows.joined(docs, word_spans(docs), *others).select(*docs.columns, "_sparkfolio_cover"), run, schema)
 
 
 ORACLE_SQL = r"""

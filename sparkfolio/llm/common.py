@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 import zipfile
 from pathlib import Path
@@ -60,8 +61,10 @@ def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Lets Spark's cleaner drop the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the first round frees what the second can collect
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 # --- Arrow text columns as flat bytes ---------------------------------------------------------

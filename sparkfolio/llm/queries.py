@@ -19,7 +19,6 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op3_host_rules": host_rules.ORACLE_SQL,
-    "op6_induced_sorting": suffix.ORACLE_SQL,
     "op7_minhash_stars": minhash.ORACLE_SQL,
     "op10_suffix_automata": automata.ORACLE_SQL,
 }

@@ -280,7 +280,7 @@ def digests(docs: DataFrame, found: DataFrame) -> DataFrame:
             for some in common.pieces(batch, "text"):
                 data, offsets = common.text_bytes(some.column("text"))
                 rows = []
-                for i, cover in enumerate(some.column("_cover").to_pylist()):
+                for i, cover in enumerate(some.column("_sparkfolio_cover").to_pylist()):
                     a, b = windows.merged(cover)
                     text = data[offsets[i] : offsets[i + 1]]
                     digest, at = hashlib.sha256(), 0
@@ -300,15 +300,3 @@ def query(spark, sf_dir: str) -> DataFrame:
     docs = common.read(spark, sf_dir, "documents")
     return digests(docs, byte_spans(docs))
 
-
-ORACLE_SQL = r"""
-WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-win AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 100)) AS k FROM d, LATERAL (SELECT unnest(range(0, length(h) // 2 - 49)) AS i)),
-own AS (SELECT k, min(doc_id) AS o FROM win GROUP BY k),
-gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM win JOIN own USING (k) WHERE o < doc_id),
-runs AS (SELECT doc_id, count(*) AS n, count(*) FILTER (last IS NULL OR last <> p - 1) AS spans FROM (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS last FROM gone) GROUP BY doc_id),
-byte AS (SELECT doc_id, unnest(range(0, length(h) // 2)) AS p, h FROM d SEMI JOIN gone USING (doc_id)),
-kept AS (SELECT doc_id, string_agg(substr(h, 2 * p + 1, 2), '' ORDER BY p) AS t FROM byte ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
-SELECT d.doc_id, length(h) // 2 AS n_bytes, coalesce(n, 0) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(CASE WHEN n IS NULL THEN unhex(h) ELSE unhex(coalesce(t, '')) END) AS kept_sha256
-FROM d LEFT JOIN runs USING (doc_id) LEFT JOIN kept USING (doc_id)
-"""

@@ -6,8 +6,8 @@
    and then; of it one row a slice goes on to the others' detection, so a passage that a third of all documents hold is
    no hot key.
 2. The chunks left are cut from the texts; equal chunks of an anchor are one, with the smallest id that has it.
-3. Chunks of an anchor that differ, but may have a window in common (their windows' hashes are compared), go to a kernel,
-   in shards of many anchors: for each window it returns the smallest id of any chunk that contains it. Equal windows share an anchor, so shards need nothing of each other.
+3. Chunks of an anchor that differ, cut to the windows that they may have in common (their windows' hashes are compared),
+   go to a kernel, in shards of many anchors: for each window it returns the smallest id of any chunk that contains it. Equal windows share an anchor, so shards need nothing of each other.
 4. The answers join the chunks' occurrences; windows whose owner is smaller than the document cover what goes.
 
 Rows without an id neither lose nor own anything. Repeated rows of one id do not lose to each other.
@@ -192,8 +192,9 @@ def _cut(docs: DataFrame, shared: DataFrame, kind: str, window: int) -> DataFram
 _RUNS = "array<struct<a:int,b:int,owner:long>>"
 
 
-def _mixed(kind: str, contents: list[bytes], counts: np.ndarray, window: int) -> np.ndarray:
-    """Which contents may have a window in common with another, by the windows' hashes; the kernel decides on those."""
+def _mixed(kind: str, contents: list[bytes], counts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each content, the first and last (exclusive) of its windows that another content may have too, by the windows'
+    hashes; 0 and 0 for none. The kernel decides on those."""
     units = Units(kind, pa.array(contents, pa.binary()))
     sums = common.prefix_hash(units.data)
     if kind == "words":
@@ -202,16 +203,26 @@ def _mixed(kind: str, contents: list[bytes], counts: np.ndarray, window: int) ->
         with np.errstate(over="ignore"):
             np.cumsum(h * common.powers(common._BASE, len(h)), out=sums[1:])
     row = np.repeat(np.arange(len(contents)), counts)
-    at = units.first[row] + np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+    at = units.first[row] + place
     hashes = common.run_hash(sums, at, at + window)
     order = np.argsort(hashes, kind="stable")
-    hashes, row = hashes[order], row[order]
-    lead = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+    lead = np.flatnonzero(np.append(True, hashes[order][1:] != hashes[order][:-1]))
     last = np.append(lead[1:], len(row)) - 1
-    several = np.repeat(row[lead] != row[last], last - lead + 1)
-    out = np.zeros(len(contents), bool)
-    out[row[several]] = True
-    return out
+    several = np.zeros(len(row), bool)
+    several[order] = np.repeat(row[order[lead]] != row[order[last]], last - lead + 1)
+    low, high = np.zeros(len(contents), np.int64), np.zeros(len(contents), np.int64)
+    hit = np.flatnonzero(several)
+    if len(hit):
+        begin = np.flatnonzero(np.append(True, row[hit][1:] != row[hit][:-1]))
+        end = np.append(begin[1:], len(hit)) - 1
+        low[row[hit[begin]]] = place[hit[begin]]
+        high[row[hit[end]]] = place[hit[end]] + 1
+    return low, high
+
+
+def _part(kind: str, content: bytes, a: int, b: int) -> bytes:
+    return content[a:b] if kind == "bytes" else b" ".join(content.split(b" ")[a:b])
 
 
 def _owners(chunks: DataFrame, kind: str, window: int, kernel: Kernel, partitions: int) -> DataFrame:
@@ -220,21 +231,31 @@ def _owners(chunks: DataFrame, kind: str, window: int, kernel: Kernel, partition
     distinct = chunks.groupBy("anchor", "hash").agg(F.min("doc").alias("owner"), F.max("content").alias("content"), F.max("n").alias("n"))
 
     def answer(x: list[tuple]) -> pa.RecordBatch:
-        """x: (anchor, hash, owner, content, n), anchors together. Chunks with no window in common with another own theirs."""
+        """x: (anchor, hash, owner, content, n), anchors together. Contents are cut to the windows that others may have; cut
+        ones that are equal count as one, with the smallest owner. Other windows belong to their content's owner."""
         counts = np.array([r[4] for r in x], np.int64)
-        alone = ~_mixed(kind, [r[3] for r in x], counts, window)
-        some = [r for r, one in zip(x, alone, strict=True) if not one]
-        found = iter(kernel([r[3] for r in some], np.array([r[2] for r in some], np.int64), counts[~alone]) if some else [])
+        low, high = _mixed(kind, [r[3] for r in x], counts, window)
+        parts: list[bytes | None] = [_part(kind, r[3], a, b - 1 + window) if b else None for r, a, b in zip(x, low.tolist(), high.tolist(), strict=True)]
+        owner_of: dict[bytes, int] = {}
+        for r, p in zip(x, parts, strict=True):
+            if p is not None:
+                owner_of[p] = min(owner_of.get(p, r[2]), r[2])
+        windows_of = {p: b - a for p, a, b in zip(parts, low.tolist(), high.tolist(), strict=True) if p is not None}
+        distinct_parts = list(owner_of)
+        answers = kernel(distinct_parts, np.array(list(owner_of.values()), np.int64), np.array([windows_of[p] for p in distinct_parts], np.int64)) if distinct_parts else []
+        found = {}
+        for p, owner in zip(distinct_parts, answers, strict=True):
+            lead = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            found[p] = list(zip(lead.tolist(), [*lead[1:].tolist(), len(owner)], owner[lead].tolist(), strict=True))
         runs = []
-        for r, one in zip(x, alone, strict=True):
-            if one:
-                runs.append([{"a": 0, "b": r[4], "owner": r[2]}])
+        for r, p, a, b in zip(x, parts, low.tolist(), high.tolist(), strict=True):
+            if p is None:
+                runs.append([(0, r[4], r[2])])
                 continue
-            owner = next(found)
-            lead = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-            runs.append([{"a": a, "b": b, "owner": o} for a, b, o in zip(lead.tolist(), [*lead[1:].tolist(), len(owner)], owner[lead].tolist(), strict=True)])
+            some = [(a + s, a + e, o) for s, e, o in found[p]]
+            runs.append([*([(0, a, r[2])] if a else []), *some, *([(b, r[4], r[2])] if b < r[4] else [])])
         runs_type = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("owner", pa.int64())]))
-        return pa.record_batch([pa.array([r[0] for r in x], pa.int64()), pa.array([r[1] for r in x], pa.int64()), pa.array(runs, runs_type)], names=["anchor", "hash", "runs"])
+        return pa.record_batch([pa.array([r[0] for r in x], pa.int64()), pa.array([r[1] for r in x], pa.int64()), pa.array([[{"a": a, "b": b, "owner": o} for a, b, o in y] for y in runs], runs_type)], names=["anchor", "hash", "runs"])
 
     def run(batches):
         held, size = [], 0
@@ -279,6 +300,6 @@ def merged(cover) -> tuple[np.ndarray, np.ndarray]:
 
 
 def joined(docs: DataFrame, found: DataFrame, *columns: str) -> DataFrame:
-    """docs with their spans (null: none) as _cover."""
-    lost = common.materialize(found).select(F.col("doc").alias("_doc"), F.col("cover").alias("_cover"))
-    return docs.select("doc_id", *columns).join(lost, F.col("doc_id").cast("long") == F.col("_doc"), "left").drop("_doc")
+    """docs with their spans (null: none) as _sparkfolio_cover."""
+    lost = common.materialize(found).select(F.col("doc").alias("_sparkfolio_doc"), F.col("cover").alias("_sparkfolio_cover"))
+    return docs.select("doc_id", *columns).join(lost, F.col("doc_id").cast("long") == F.col("_sparkfolio_doc"), "left").drop("_sparkfolio_doc")
