@@ -31,6 +31,8 @@ SMALL = 100
 QUIET_ROUNDS = 1
 #: Up to so many ids whose sets are wanted are broadcast to the texts; more are joined by a shuffle.
 BROADCAST_IDS = 100_000
+#: Up to so many edges their components are found without shuffles, in one partition.
+SMALL_EDGES = 200_000
 _ORDER = np.argsort(np.random.default_rng(4242).random((BINS, BINS)), axis=1)
 _BIN_SHIFT = np.uint64(64 - BINS.bit_length() + 1)
 
@@ -138,8 +140,10 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id that each vertex of edges (a, b) reaches, by alternating large and small stars."""
     now = common.materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
+    one = now.count() <= SMALL_EDGES
     mark = None
     while True:
+        now = now.coalesce(1) if one else now
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -152,6 +156,12 @@ def components(edges: DataFrame) -> DataFrame:
         mark = new
 
 
+def _centre(k: int):
+    """What the centre of a bucket has least of: in the first round of even buckets the id, elsewhere a hash of it."""
+    hashed = F.xxhash64("id", F.lit(k))
+    return hashed if k else F.when(F.col("bucket") % 2 == 0, F.col("id")).otherwise(hashed)
+
+
 def _candidates(entries: DataFrame, centre, threshold: int) -> DataFrame:
     """Star edges (a, b), a < b: in each bucket with several components from its centre to the others."""
     order = F.struct(centre.alias("o"), F.col("id").alias("id"), F.col("n").alias("n"), F.col("component").alias("component"))
@@ -182,7 +192,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80) -> Dat
             mixed = entries.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
             entries = common.materialize(entries.join(mixed, "bucket", "left_semi"))
             live = entries.select("id", "n", "bucket")
-        found = _candidates(entries, F.col("id") if not k else F.xxhash64("id", F.lit(k)), threshold)
+        found = _candidates(entries, _centre(k), threshold)
         edges = common.materialize(found if tested is None else found.join(tested, ["a", "b"], "left_anti"))
         tested = edges if tested is None else tested.union(edges)
         if edges.isEmpty():
@@ -228,3 +238,16 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     if repeated.isEmpty():
         return kept
     return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 1) + 1), lambda i: array_to_string(w[i:i + 3], ' '))) AS g FROM d WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * i >= 80 * (nx.n + ny.n - i)),
+e AS (SELECT x AS a, y AS b FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(c) AS component_id, r.doc_id = min(c) AS kept FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
