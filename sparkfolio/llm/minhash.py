@@ -7,7 +7,9 @@ ones (optimal densification). Signatures make buckets of 4 bins, and of 2 bins f
 Documents of equal sets are one class, seen through its smallest id. In each bucket, edges go from one centre to the
 others: at most one an entry, never a pair of each. Edges of fitting sizes are confirmed on the full sets
 (100 * intersection >= threshold * union). Components come from alternating large and small stars. Buckets that still
-hold several components get a further round with other centres, until a round confirms nothing new.
+hold several components get a further round with other centres, until a round confirms nothing new. What then shares a
+mixed bucket of three or more is joined exactly, on the rarest shingles of each set (prefix filter): every pair that shares
+a bucket is tested, is in one component, or is under the threshold by its sizes or its rarest shingles.
 
 Nulls: a null text, or one without words, has an empty set and is linked with nothing; a text shorter than a shingle is
 one shingle. Empty tables give no rows. Repeated rows and exact copies share a class. Rows without an id are classes of
@@ -27,12 +29,14 @@ from . import common
 
 BINS = 128
 SMALL = 100
-#: Rounds without a new link after which the search for further centres ends.
+#: Rounds without a new link after which the exact join takes the place of further centres.
 QUIET_ROUNDS = 1
 #: Up to so many ids whose sets are wanted are broadcast to the texts; more are joined by a shuffle.
 BROADCAST_IDS = 100_000
 #: Up to so many edges their components are found without shuffles, in one partition.
 SMALL_EDGES = 200_000
+#: Counts by slot put shingles in their order of rarity; where slots are shared the order is another, and no less exact.
+SLOTS = 1 << 20
 _ORDER = np.argsort(np.random.default_rng(4242).random((BINS, BINS)), axis=1)
 _BIN_SHIFT = np.uint64(64 - BINS.bit_length() + 1)
 
@@ -171,6 +175,112 @@ def _candidates(entries: DataFrame, centre, threshold: int) -> DataFrame:
     return pairs.where(fits).select(F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct()
 
 
+def _mixed(live: DataFrame, labels: DataFrame | None, *more) -> tuple[DataFrame, DataFrame]:
+    """(entries with their components, buckets that hold several of them with what more names)."""
+    entries = live.withColumn("component", F.col("id"))
+    if labels is not None:
+        entries = live.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    least = entries.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), *more)
+    return entries, least.where("low <> high").drop("low", "high")
+
+
+def shingle_counts(texts: DataFrame, words: int) -> np.ndarray:
+    """[SLOTS]: how many shingles of how many documents the low bits of their hashes send to a slot, 0 for a lonely one."""
+
+    def run(batches):
+        n = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for some in common.pieces(batch, "text"):
+                values, _ = shingle_sets(some.column("text"), words)
+                n += np.bincount((values & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
+        at = np.flatnonzero(n)
+        yield pa.record_batch([pa.array(at), pa.array(n[at])], names=["slot", "m"])
+
+    found = common.map_arrow(texts, run, "slot long, m long").groupBy("slot").agg(F.sum("m").alias("m")).where("m > 1").toArrow()
+    out = np.zeros(SLOTS, np.uint32)
+    out[found.column("slot").to_numpy()] = np.minimum(found.column("m").to_numpy(), (1 << 32) - 1)
+    return out
+
+
+def prefixes(texts: DataFrame, words: int, threshold: int, counts: np.ndarray) -> DataFrame:
+    """(id, n, most, bucket): the rarest shingles of every document, as buckets. If a bucket is the first shingle that two
+    similar documents share, in the order of rarity, then each one's size is at most the other's `most`."""
+
+    def run(batches):
+        for batch in batches:
+            for some in common.pieces(batch, "text"):
+                values, offsets = shingle_sets(some.column("text"), words)
+                sizes = np.diff(offsets)
+                of = np.repeat(np.arange(len(sizes)), sizes)
+                rarity = counts[(values & np.uint64(SLOTS - 1)).astype(np.int64)]
+                order = np.lexsort((values, rarity, of))
+                n = sizes[of]
+                left = n - (np.arange(len(of)) - offsets[of])
+                most = left * (100 + threshold) // threshold - n
+                keep = (100 * most >= threshold * n) & (rarity[order] > 1)
+                ids = some.column("id").take(pa.array(of[keep]))
+                yield pa.record_batch([ids, pa.array(n[keep].astype(np.int64)), pa.array(most[keep].astype(np.int64)), pa.array(values[order][keep].view(np.int64))], names=["id", "n", "most", "bucket"])
+
+    return common.map_arrow(texts, run, "id long, n long, most long, bucket long")
+
+
+class _Links:
+    """Confirmed links and their components so far. No edge is tested twice."""
+
+    def __init__(self, docs: DataFrame, words: int, threshold: int):
+        self.docs, self.words, self.threshold = docs, words, threshold
+        self.good = self.tested = self.sets = self.labels = None
+
+    def texts(self, wanted: DataFrame) -> DataFrame:
+        """(id, text) of the wanted ids."""
+        if wanted.count() <= BROADCAST_IDS:
+            wanted = F.broadcast(wanted)
+        return self.docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id", "left_semi").dropDuplicates(["id"])
+
+    def confirm(self, found: DataFrame) -> tuple[bool, bool]:
+        """Whether there was an edge to test, and whether one was confirmed."""
+        edges = common.materialize(found if self.tested is None else found.join(self.tested, ["a", "b"], "left_anti"))
+        self.tested = edges if self.tested is None else self.tested.union(edges)
+        if edges.isEmpty():
+            return False, False
+        wanted = edges.select(F.col("a").alias("id")).union(edges.select(F.col("b").alias("id"))).distinct()
+        if self.sets is not None:
+            wanted = wanted.join(self.sets.select("id"), "id", "left_anti")
+        more = common.materialize(full_sets(self.texts(common.materialize(wanted)), self.words))
+        self.sets = more if self.sets is None else self.sets.union(more)
+        size = F.size(F.array_intersect("x", "y"))
+        pairs = edges.join(self.sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b").join(self.sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
+        good = common.materialize(pairs.where(100 * size >= self.threshold * (F.size("x") + F.size("y") - size)).select("a", "b"))
+        common.release(self.docs.sparkSession)
+        if good.isEmpty():
+            return True, False
+        self.good = good if self.good is None else self.good.union(good)
+        self.labels = components(self.good)
+        return True, True
+
+
+def _finish(live: DataFrame, links: _Links) -> None:
+    """Tests what stars left untested: every pair of different components in the buckets of three and more, but those that
+    their rarest shingles prove to be under the threshold. Stars from the smallest set go first, to spare pairs."""
+    large = live.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 2").select("bucket")
+    ids = common.materialize(live.join(large, "bucket", "left_semi").select("id").distinct())
+    if ids.isEmpty():
+        return
+    texts = links.texts(ids)
+    live = common.materialize(prefixes(texts, links.words, links.threshold, shingle_counts(texts, links.words)))
+    new = True
+    while new:
+        entries, mixed = _mixed(live, links.labels, F.min("n").alias("least"), F.max("most").alias("greatest"))
+        entries = common.materialize(entries.join(mixed, "bucket").where("most >= least and n <= greatest").drop("least", "greatest"))
+        live = entries.drop("component")
+        centres = entries.groupBy("bucket").agg(F.min(F.struct("n", "id", "most", "component")).alias("c"))
+        pairs = entries.join(centres, "bucket").where("component <> c.component and n <= c.most and c.n <= most")
+        _, new = links.confirm(pairs.select(F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct())
+    other = entries.select("bucket", *(F.col(c).alias(f"o_{c}") for c in ("id", "n", "most", "component")))
+    pairs = entries.join(other, "bucket").where("id < o_id and component <> o_component and n <= o_most and o_n <= most")
+    links.confirm(pairs.select(F.col("id").alias("a"), F.col("o_id").alias("b")).distinct())
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     spark = docs.sparkSession
@@ -184,43 +294,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80) -> Dat
     several = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("bucket")
     live = common.materialize(every.join(several, "bucket", "left_semi"))
     common.release(spark)
-    links, tested, sets, labels, quiet, k = None, None, None, None, 0, 0
+    links, quiet, k = _Links(docs, words, threshold), 0, 0
     while True:
-        entries = live.withColumn("component", F.col("id"))
-        if labels is not None:
-            entries = live.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-            mixed = entries.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
+        entries, mixed = _mixed(live, links.labels)
+        if links.labels is not None:
             entries = common.materialize(entries.join(mixed, "bucket", "left_semi"))
             live = entries.select("id", "n", "bucket")
-        found = _candidates(entries, _centre(k), threshold)
-        edges = common.materialize(found if tested is None else found.join(tested, ["a", "b"], "left_anti"))
-        tested = edges if tested is None else tested.union(edges)
-        if edges.isEmpty():
+        some, new = links.confirm(_candidates(entries, _centre(k), threshold))
+        quiet = 0 if new else quiet + 1
+        if not some or quiet >= QUIET_ROUNDS:
             break
-        wanted = edges.select(F.col("a").alias("id")).union(edges.select(F.col("b").alias("id"))).distinct()
-        if sets is not None:
-            wanted = wanted.join(sets.select("id"), "id", "left_anti")
-        wanted = common.materialize(wanted)
-        if wanted.count() <= BROADCAST_IDS:
-            wanted = F.broadcast(wanted)
-        texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id", "left_semi").dropDuplicates(["id"])
-        more = common.materialize(full_sets(texts, words))
-        sets = more if sets is None else sets.union(more)
-        size = F.size(F.array_intersect("x", "y"))
-        pairs = edges.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b").join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
-        good = common.materialize(pairs.where(100 * size >= threshold * (F.size("x") + F.size("y") - size)).select("a", "b"))
-        common.release(spark)
-        quiet = quiet + 1 if good.isEmpty() else 0
-        if quiet:
-            if quiet >= QUIET_ROUNDS:
-                break
-        else:
-            links = good if links is None else links.union(good)
-            labels = components(links)
         k += 1
+    _finish(live, links)
     found = classes.withColumn("component_id", F.col("id"))
-    if labels is not None:
-        found = classes.join(labels, "id", "left").withColumn("component_id", F.coalesce("component", "id"))
+    if links.labels is not None:
+        found = classes.join(links.labels, "id", "left").withColumn("component_id", F.coalesce("component", "id"))
     out = marked.select("doc_id", "n_shingles", "set_key").join(found.select("set_key", "component_id"), "set_key", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 

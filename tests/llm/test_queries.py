@@ -264,6 +264,14 @@ def test_minhash_random_families(spark):
     assert {x.doc_id: x.component_id for x in df.collect()} == want
 
 
+def test_minhash_pairs_under_a_hot_template(spark):
+    template = " ".join(f"t{i}" for i in range(266))
+    rows = [(i, f"{template} " + " ".join(f"d{i}_{j}" for j in range(33)) + (f" pair{i // 60}" if i % 60 < 2 else f" own{i}")) for i in range(600)]
+    want = {i: i - 1 if i % 60 == 1 else i for i in range(600)}
+    df = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=1)
+    assert {x.doc_id: x.component_id for x in df.collect()} == want
+
+
 def test_repeated_and_null_ids(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "q"), (None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
