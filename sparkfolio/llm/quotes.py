@@ -1,10 +1,11 @@
 """Quotation linking: messages without quotes, in reply order.
 
 A line's quote level is the number of its leading '>' marks. Runs of quoted lines of one level are passages; a passage,
-and each of its lines of LEAST_LINE characters or more, is normalised (lower case, single spaces) and hashed. Messages
-are indexed by the hashes of their own text: whole, by paragraph, by line. A hash belongs to the first message of the
-conversation that has it, so a passage quoted by thousands of messages joins one row. A message replies to the match of
-least quote level (whole passages before lines, then the latest message). Threads are ordered by their first turn, and
+and each of its lines, is normalised (lower case, single spaces) and hashed. Messages are indexed by the hashes of their
+own text: whole, by paragraph, by line. A hash belongs to the first message of the conversation that has it, so a passage
+quoted by thousands of messages joins one row. A message replies to the match of least quote level (whole passages before
+lines, then the latest message); lines under LEAST_LINE characters count where that level has no other match, those of one
+message alone first, then longer ones. Threads are ordered by their first turn, and
 turns inside a thread; a reply never comes before what it answers. Only DataFrame functions run.
 
 Nulls: a null text is a message without text; rows with a null conversation or turn are kept, link with nothing and
@@ -49,7 +50,7 @@ def own_text(lines: Column) -> Column:
 
 
 def passages(lines: Column) -> Column:
-    """[(level, whole, unit)] of the quoted passages and of their longer lines, normalised."""
+    """[(level, whole, unit)] of the quoted passages and of their lines, normalised."""
     n = F.size(lines)
     first = F.filter(
         F.sequence(F.lit(0), n - 1),
@@ -63,25 +64,28 @@ def passages(lines: Column) -> Column:
         return F.struct(F.get(lines, i).level.alias("level"), F.lit(1).alias("whole"), normal(F.array_join(body, " ")).alias("unit"))
 
     single = F.transform(F.filter(lines, lambda x: x.level > 0), lambda x: F.struct(x.level.alias("level"), F.lit(0).alias("whole"), normal(x.body).alias("unit")))
-    both = F.concat(F.transform(first, passage), F.filter(single, lambda x: F.length(x.unit) >= LEAST_LINE))
+    both = F.concat(F.transform(first, passage), single)
     return F.filter(both, lambda x: x.unit != "")
 
 
 def originals(own: Column) -> Column:
-    """Normalised whole text, paragraphs and longer lines of a message."""
+    """[(unit, short)] of a message's whole text, paragraphs and lines, normalised; short: a line under LEAST_LINE characters."""
     paragraphs = F.transform(F.split(own, "\n[ \\t]*\n"), normal)
-    single = F.filter(F.transform(F.split(own, "\n"), normal), lambda x: F.length(x) >= LEAST_LINE)
-    return F.array_distinct(F.filter(F.concat(F.array(normal(own)), paragraphs, single), lambda x: x != ""))
+    single = F.transform(F.transform(F.split(own, "\n"), normal), lambda x: F.struct(x.alias("unit"), (F.length(x) < LEAST_LINE).alias("short")))
+    longer = F.transform(F.concat(F.array(normal(own)), paragraphs), lambda x: F.struct(x.alias("unit"), F.lit(False).alias("short")))
+    return F.array_distinct(F.filter(F.concat(longer, single), lambda x: x.unit != ""))
 
 
 def links(parsed: DataFrame) -> DataFrame:
     """(conv_id, turn, parent_turn) of the messages that quote an earlier one."""
     quoted = parsed.where(F.exists("lines", lambda x: x.level > 0)).select("conv_id", "turn", F.explode(passages(F.col("lines"))).alias("q"))
-    quoted = quoted.select("conv_id", "turn", "q.level", "q.whole", F.md5("q.unit").alias("h"))
-    known = parsed.select("conv_id", "turn", F.explode(originals(F.col("own"))).alias("unit")).groupBy("conv_id", F.md5("unit").alias("h")).agg(F.min("turn").alias("parent_turn"))
+    quoted = quoted.select("conv_id", "turn", "q.level", "q.whole", F.length("q.unit").alias("size"), F.md5("q.unit").alias("h"))
+    units = parsed.select("conv_id", "turn", F.explode(originals(F.col("own"))).alias("u"))
+    known = units.groupBy("conv_id", F.md5("u.unit").alias("h"), "u.short").agg(F.min("turn").alias("parent_turn"), (F.min("turn") == F.max("turn")).alias("alone"))
     found = quoted.join(known, ["conv_id", "h"]).where(F.col("parent_turn") < F.col("turn"))
-    best = F.max_by("parent_turn", F.struct(-F.col("level"), "whole", "parent_turn"))
-    return found.groupBy("conv_id", "turn").agg(best.alias("parent_turn"))
+    sure = ~F.col("short") & ((F.col("whole") == 1) | (F.col("size") >= LEAST_LINE))
+    rank = F.struct(-F.col("level"), sure, "whole", sure | F.col("alone"), F.when(sure, 0).otherwise(F.col("size")), "parent_turn")
+    return found.groupBy("conv_id", "turn").agg(F.max_by("parent_turn", rank).alias("parent_turn"))
 
 
 def roots(linked: DataFrame) -> DataFrame:

@@ -329,3 +329,12 @@ def test_quotes(spark):
     assert (1, 2, 2, "Good to hear", 1, 0, 2) in got and (1, 1, 1, "Fine thanks.", 0, 0, 1) in got and (1, 3, 3, "and what?", 0, 0, 1) in got
     assert len(got) == len(rows) and (2, 0, 0, "", None, 0, 0) in got
     assert quotes.link(docs.where("false")).collect() == []
+
+
+def test_quotes_of_short_lines(spark):
+    rows = [
+        (1, 0, "u", "Shall we meet at noon on Friday then?\nOK\nSounds good to me."), (1, 1, "a", "Thanks a lot for the notes.\nOK"), (1, 2, "b", "> Sounds good to me.\nGreat"),
+        (1, 3, "c", "> OK\n> thanks a lot for the notes.\nSo be it"), (1, 4, "d", "> OK\n> Great\nFine"), (1, 5, "e", "> never said\nHm"),
+    ]
+    docs = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert {r.turn: r.parent_turn for r in quotes.link(docs).collect()} == {0: None, 1: None, 2: 0, 3: 1, 4: 2, 5: None}
