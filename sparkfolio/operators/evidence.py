@@ -1,56 +1,10 @@
-"""Spans of rules in texts, their dedupe, events built from dated evidence, and chronology."""
+"""Dedupe of evidence, events built from dated evidence, chronology and peers."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-from dataclasses import dataclass
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkfolio.sources.shipping import ship
-
-_SPANS = "rule_id string, category string, strength string, char_start int, char_end int, span_text string"
-
-
-@dataclass(frozen=True)
-class Rule:
-    rule_id: str
-    category: str
-    pattern: str
-    strength: str = "supporting"
-
-
-def check_rules(rules: list[Rule]) -> None:
-    names = [r.rule_id for r in rules]
-    if len(names) != len(set(names)):
-        raise ValueError("a rule id occurs twice")
-    for r in rules:
-        re.compile(r.pattern)
-
-
-def spans(texts: DataFrame, key: str, rules: list[Rule], text: str = "text", most: int | None = None) -> DataFrame:
-    """(key, rule, char_start, char_end, span_text) of all matches, by Python's regular expressions, for SQL's give no offsets."""
-    check_rules(rules)
-    ship(texts.sparkSession)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        compiled = [(r, re.compile(r.pattern)) for r in rules]
-        for batch in batches:
-            rows = []
-            for k, t in zip(batch[key], batch[text], strict=True):
-                for r, p in compiled if t else ():
-                    for i, m in enumerate(p.finditer(t)):
-                        if most is not None and i >= most:
-                            break
-                        rows.append((k, r.rule_id, r.category, r.strength, m.start(), m.end(), m.group()))
-            yield pd.DataFrame(rows, columns=[key, "rule_id", "category", "strength", "char_start", "char_end", "span_text"])
-
-    kind = texts.schema[key].dataType.simpleString()
-    return texts.select(key, text).mapInPandas(run, f"{key} {kind}, {_SPANS}")
-
 
 def top_k(rows: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:
     """The first k rows of each group; Spark prunes each group before the shuffle (group limit)."""
@@ -96,10 +50,25 @@ def precedence(rows: DataFrame, subject: str, kind: str, ladder: list[tuple[str,
     return per.withColumn(alias, out.otherwise(default))
 
 
-def after_all(rows: DataFrame, subject: str, kind: str, at: str, later: str, earlier: str) -> DataFrame:
-    """(subject, holds): some `later` row is at or after every `earlier` row. Times are a total order, so that two maxima decide."""
-    per = rows.groupBy(subject).agg(F.max(F.when(F.col(kind) == later, F.col(at))).alias("l"), F.max(F.when(F.col(kind) == earlier, F.col(at))).alias("e"))
-    return per.select(subject, (F.col("l").isNotNull() & (F.col("e").isNull() | (F.col("l") >= F.col("e")))).alias("holds"))
+def after_all(rows: DataFrame, subject: str, kind: str, day: str, place: str, later: str, earlier: str) -> DataFrame:
+    """(subject, holds): some `later` row is at or after every `earlier` row. Days are ISO, of day or month precision, which makes
+    a partial order: other months decide, then days where both have one, equal ones by their place, a day and its month not.
+    A subject's `earlier` rows count by three maxima (months, days of the last month, places of its last day), so that no
+    pairs are made."""
+    d, month = F.col(day), F.substring(F.col(day), 1, 7)
+    first, second = rows.where(F.col(kind) == later), rows.where(F.col(kind) == earlier)
+    full = F.length(d) == 10
+    ahead = second.groupBy(subject).agg(F.max(month).alias("_m"))
+    top = second.join(ahead, subject).where(month == F.col("_m"))
+    top = top.groupBy(subject).agg(
+        F.max("_m").alias("_m"), F.max(F.when(full, d)).alias("_d"), F.bool_or(~full).alias("_vague"), F.max_by(F.col(place), F.struct(d, F.col(place))).alias("_p"), F.max(F.when(~full, F.col(place))).alias("_q"),
+    )
+    both = first.select(subject, d.alias("_x"), F.col(place).alias("_y")).join(top, subject, "left")
+    x_full, x_month = F.length("_x") == 10, F.substring("_x", 1, 7)
+    in_month = F.when(x_full, ~F.col("_vague") & ((F.col("_x") > F.col("_d")) | (F.col("_x") == F.col("_d")) & (F.col("_y") >= F.col("_p")))).otherwise(F.col("_d").isNull() & (F.col("_y") >= F.col("_q")))
+    ok = F.when(F.col("_m").isNull() | (x_month > F.col("_m")), True).when(x_month < F.col("_m"), False).otherwise(F.coalesce(in_month, F.lit(False)))
+    held = both.groupBy(subject).agg(F.bool_or(ok).alias("holds"))
+    return rows.where(F.col(kind).isin(later, earlier)).select(subject).distinct().join(held, subject, "left").select(subject, F.coalesce("holds", F.lit(False)).alias("holds"))
 
 
 def near(rows: DataFrame, keys: list[str], at: str, is_anchor: Column, is_action: Column, distance: int) -> DataFrame:
@@ -111,12 +80,10 @@ def near(rows: DataFrame, keys: list[str], at: str, is_anchor: Column, is_action
     return out.withColumn("gap", gap).where(is_action & (F.col("gap") <= distance)).drop("_p", "_n")
 
 
-def peers(rows: DataFrame, key: str, section: list[str], day: list[str], subtype: Column) -> DataFrame:
-    """(key, n_peers): other rows of the same section, or of the same document and day with a listed subtype.
-    Counts by inclusion and exclusion take the place of an OR join."""
-    listed = rows.where(subtype)
-    same = rows.groupBy(*section).agg(F.count(F.lit(1)).alias("a"))
-    by_day = listed.groupBy(*day).agg(F.count(F.lit(1)).alias("b"))
-    both = listed.groupBy(*dict.fromkeys(section + day)).agg(F.count(F.lit(1)).alias("c"))
-    out = rows.join(same, section).join(by_day, day, "left").join(both, list(dict.fromkeys(section + day)), "left")
-    return out.select(key, (F.col("a") + F.coalesce("b", F.lit(0)) - F.coalesce("c", F.lit(0)) - 1).alias("n_peers"))
+def peers(rows: DataFrame, document: str, section: str, day: str, subtype: Column) -> DataFrame:
+    """(document, section, day, n_rows, n_peers): rows of the same section, or of the same document and day with a listed subtype,
+    the row itself among them. Rows are counted by (document, section, day) first; then sums over two windows, less what
+    both count, take the place of an OR join, after one shuffle by document."""
+    per = rows.groupBy(document, section, day).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(subtype).alias("_s"))
+    same, today = Window.partitionBy(document, section), Window.partitionBy(document, day)
+    return per.repartition(document).select(document, section, day, "n_rows", (F.sum("n_rows").over(same) + F.sum("_s").over(today) - F.col("_s")).alias("n_peers"))

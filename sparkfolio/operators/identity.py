@@ -9,18 +9,25 @@ from pyspark.sql import functions as F
 
 
 def canonical(records: DataFrame, content: Column, key: str, order: list[Column]) -> DataFrame:
-    """records with content_key, is_canonical and duplicate_of: the first of each content in the given order stands for it."""
-    keyed = records.withColumn("content_key", content)
+    """records with content_key, is_canonical and duplicate_of: the first of each content in the given order stands for it.
+    A null content is the content of its own record alone: what could not be read never collapses."""
+    keyed = records.withColumn("content_key", content).withColumn("_own", F.coalesce(F.col("content_key"), F.concat(F.lit("unreadable_"), F.col(key).cast("string"))))
     # an aggregate finds the leader, so that a content that many records share is no single task
     rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], F.col(key).alias("leader"))
-    lead = keyed.groupBy("content_key").agg(F.min(rank).alias("first")).select("content_key", F.col("first.leader").alias("leader"))
-    joined = keyed.join(lead, "content_key")
-    return joined.withColumn("is_canonical", F.col(key) == F.col("leader")).withColumn("duplicate_of", F.when(~F.col("is_canonical"), F.col("leader"))).drop("leader")
+    lead = keyed.groupBy("_own").agg(F.min(rank).alias("first")).select("_own", F.col("first.leader").alias("leader"))
+    joined = keyed.join(lead, "_own")
+    return joined.withColumn("is_canonical", F.col(key) == F.col("leader")).withColumn("duplicate_of", F.when(~F.col("is_canonical"), F.col("leader"))).drop("leader", "_own")
 
 
 def duplicate_groups(records: DataFrame, content: Column, key: str) -> DataFrame:
-    grouped = records.groupBy(content.alias("content_key")).agg(F.count(F.lit(1)).alias("n"), F.concat_ws("|", F.array_sort(F.collect_list(F.lpad(F.col(key).cast("string"), 12, "0")))).alias("members"))
-    return grouped.where("n > 1")
+    """(content_key, n, leader) of the contents that several records have."""
+    keyed = records.select(F.col(key).alias("_k"), content.alias("content_key")).where("content_key is not null")
+    return keyed.groupBy("content_key").agg(F.count(F.lit(1)).alias("n"), F.min("_k").alias("leader")).where("n > 1")
+
+
+def duplicate_members(records: DataFrame, content: Column, key: str) -> DataFrame:
+    """(key, content_key, n, leader): a row for each record of a repeated content; members are never gathered."""
+    return records.select(key, content.alias("content_key")).join(duplicate_groups(records, content, key), "content_key")
 
 
 def identity_conflicts(records: DataFrame, content: Column, owner: str) -> DataFrame:
@@ -30,21 +37,21 @@ def identity_conflicts(records: DataFrame, content: Column, owner: str) -> DataF
 
 
 def duplicate_suffix(records: DataFrame, name: Column, order: str, alias: str) -> DataFrame:
-    """records with an id that is the name, and name_duplicate_N for its later bearers."""
-    n = F.row_number().over(Window.partitionBy(name).orderBy(order)) - 1
-    return records.withColumn(alias, F.when(n == 0, name).otherwise(F.concat(name, F.lit("_duplicate_"), n.cast("string"))))
+    """records with an id that is the name, and name_duplicate_2 and so on for its later bearers."""
+    n = F.row_number().over(Window.partitionBy(name).orderBy(order))
+    return records.withColumn(alias, F.when(n == 1, name).otherwise(F.concat(name, F.lit("_duplicate_"), n.cast("string"))))
 
 
 def resolve_matches(evidence: DataFrame, files: DataFrame, key: str, method: str = "method", candidate: str = "candidate") -> DataFrame:
-    """(key, n_methods, candidates, match_status, matched): the intersection of the candidate sets of all methods that found any.
-    One candidate is a match; none, or several, is ambiguous; a file without evidence is unmatched."""
-    sets = evidence.groupBy(key, method).agg(F.collect_set(candidate).alias("c"))
-    joint = sets.groupBy(key).agg(F.collect_list("c").alias("sets"), F.count(F.lit(1)).alias("n_methods"))
-    common = F.aggregate(F.slice("sets", 2, F.size("sets")), F.get("sets", F.lit(0)), lambda a, x: F.array_intersect(a, x))
-    out = files.select(key).distinct().join(joint.withColumn("common", F.array_sort(common)), key, "left")
-    size = F.size("common")
-    status = F.when(F.col("n_methods").isNull(), "unmatched").when(size == 1, "matched").otherwise("ambiguous")
-    return out.select(key, F.coalesce("n_methods", F.lit(0)).alias("n_methods"), F.coalesce(F.concat_ws("|", "common"), F.lit("")).alias("candidates"), status.alias("match_status"), F.when(status == "matched", F.get("common", F.lit(0))).alias("matched"))
+    """(key, n_methods, n_candidates, match_status, matched): the candidates that all methods with evidence agree on, counted by
+    candidate and never gathered. One is a match; none, or several, is ambiguous; a file without evidence is unmatched."""
+    each = evidence.select(key, method, candidate).distinct()
+    methods = each.groupBy(key).agg(F.count_distinct(method).alias("n_methods"))
+    shared = each.groupBy(key, candidate).agg(F.count(F.lit(1)).alias("n")).join(methods, key).where("n = n_methods")
+    common = shared.groupBy(key).agg(F.count(F.lit(1)).alias("n_candidates"), F.min(candidate).alias("one"))
+    out = files.select(key).distinct().join(methods, key, "left").join(common, key, "left")
+    status = F.when(F.col("n_methods").isNull(), "unmatched").when(F.col("n_candidates") == 1, "matched").otherwise("ambiguous")
+    return out.select(key, F.coalesce("n_methods", F.lit(0)).alias("n_methods"), F.coalesce("n_candidates", F.lit(0)).alias("n_candidates"), status.alias("match_status"), F.when(status == "matched", F.col("one")).alias("matched"))
 
 
 def header_references(files: DataFrame, key: str, text: str, patterns: dict[str, str], head: int = 20_000) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BAD_STATUS = ("failed", "text_layer_unusable", "empty", "identity_conflict")
@@ -19,9 +19,23 @@ def reliable(sections: DataFrame, subject: str, date: str, uncertain: Column | N
     return sections.where(keep)
 
 
-def before_cutoff(timeline: DataFrame, date: str, cutoff: str, subject: str | None = None, value=None) -> DataFrame:
-    """Strictly before the cut-off day, of one subject if given."""
+def make(sections: DataFrame) -> DataFrame:
+    """The timeline of all subjects, in order of subject, date, document and section; a minute's date stands before its day's."""
+    kept = reliable(sections, "patient_id", "section_date", F.col("date_uncertain"), F.col("parse_status"))
+    date = F.when(F.coalesce("document_timestamp", F.lit("")) != "", F.col("document_timestamp")).otherwise(F.col("section_date"))
+    rows = kept.select(
+        "patient_id", date.alias("date"), "date_precision", F.col("section_type").alias("event_type"), F.col("section_subtype").alias("event_subtype"), "document_id", "section_id", "source_pdf", F.col("page_start").alias("page"), "page_end",
+        "date_source", "date_evidence", "date_page", "parse_status", "clinical_stage", "leakage_risk", F.lit("").alias("available_at"), F.lit(True).alias("cutoff_review_required"), "text_source", "date_requires_review",
+        "date_evidence_confidence", "flags", "leakage_flags",
+    )
+    return rows.orderBy("patient_id", "date", "document_id", "section_id")
+
+
+def before_cutoff(timeline: DataFrame, date: str, cutoff: str, subject: str | None = None, value=None, review: str = "date_requires_review") -> DataFrame:
+    """Strictly before the cut-off day, of one subject if given; dates that still need a review stay out."""
     out = timeline.where(F.substring(F.col(date), 1, 10) < cutoff)
+    if review in timeline.columns:
+        out = out.where(~F.coalesce(F.lower(F.col(review).cast("string")).isin("true", "1"), F.lit(False)))
     return out if subject is None else out.where(F.col(subject) == value)
 
 
@@ -31,15 +45,12 @@ def years(rows: DataFrame, date: Column) -> DataFrame:
 
 def section_ranges(starts: DataFrame, document: str, ordinal: str) -> DataFrame:
     """Each section runs to the next boundary, exclusive; the last to the end of its document (null)."""
-    from pyspark.sql import Window
-
     return starts.withColumn("next_start", F.lead(ordinal).over(Window.partitionBy(document).orderBy(ordinal)))
 
 
 def section_date(candidates: DataFrame, keys: list[str], priority: str, date: str) -> DataFrame:
     """(keys, date, date_status, n_candidates): the one date of the best priority; several conflict and leave it unknown."""
-    best = candidates.groupBy(*keys).agg(F.min(F.struct(priority)).getField(priority).alias("best"))
-    top = candidates.join(best, keys).where(F.col(priority) == F.col("best"))
-    out = top.groupBy(*keys).agg(F.count_distinct(date).alias("n_dates"), F.min(date).alias("first_date"), F.count(F.lit(1)).alias("n_candidates"))
+    per = candidates.groupBy(*keys, priority).agg(F.count_distinct(date).alias("n_dates"), F.min(date).alias("first_date"), F.count(F.lit(1)).alias("n_candidates"))
+    best = per.groupBy(*keys).agg(F.min(F.struct(priority, "n_dates", "first_date", "n_candidates")).alias("x")).select(*keys, "x.*")
     one = F.col("n_dates") == 1
-    return out.select(*keys, F.when(one, F.col("first_date")).otherwise("").alias("date"), F.when(one, "known").otherwise("conflicting_dates").alias("date_status"), "n_candidates")
+    return best.select(*keys, F.when(one, F.col("first_date")).otherwise("").alias("date"), F.when(one, "known").otherwise("conflicting_dates").alias("date_status"), "n_candidates")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkfolio.functions import dates, ids, intervals, text
-from sparkfolio.operators import evidence, explorer, gold, identity, quality, review, timeline, validate
+from sparkfolio.operators import evidence, explorer, gold, identity, quality, review, rules, timeline, validate
+from sparkfolio.operators.rules import Rule
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -55,10 +56,9 @@ def q03_canonical_documents(spark, d) -> DataFrame:
     return identity.canonical(table(spark, d, "documents"), F.sha2("text", 256), "doc_id", rank).select("doc_id", "content_key", "is_canonical", "duplicate_of")
 
 
-@query("""SELECT sha256(text) AS content_key, count(*) AS n, string_agg(lpad(CAST(doc_id AS VARCHAR), 12, '0'), '|' ORDER BY doc_id) AS members
-  FROM documents GROUP BY sha256(text) HAVING count(*) > 1""")
+@query("""SELECT doc_id, content_key, n, leader FROM (SELECT doc_id, sha256(text) AS content_key, count(*) OVER w AS n, min(doc_id) OVER w AS leader FROM documents WHERE text IS NOT NULL WINDOW w AS (PARTITION BY sha256(text))) WHERE n > 1""")
 def q04_duplicate_groups(spark, d) -> DataFrame:
-    return identity.duplicate_groups(table(spark, d, "documents"), F.sha2("text", 256), "doc_id")
+    return identity.duplicate_members(table(spark, d, "documents"), F.sha2("text", 256), "doc_id")
 
 
 @query("""SELECT sha256(text) AS content_key, count(DISTINCT source) AS n_owners, string_agg(DISTINCT source, '|' ORDER BY source) AS owners
@@ -67,8 +67,8 @@ def q05_identity_conflict(spark, d) -> DataFrame:
     return identity.identity_conflicts(table(spark, d, "documents"), F.sha2("text", 256), "source")
 
 
-@query("""SELECT c_custkey, CASE WHEN n = 0 THEN name ELSE name || '_duplicate_' || CAST(n AS VARCHAR) END AS patient_id FROM (
-  SELECT c_custkey, name, row_number() OVER (PARTITION BY name ORDER BY c_custkey) - 1 AS n
+@query("""SELECT c_custkey, CASE WHEN n = 1 THEN name ELSE name || '_duplicate_' || CAST(n AS VARCHAR) END AS patient_id FROM (
+  SELECT c_custkey, name, row_number() OVER (PARTITION BY name ORDER BY c_custkey) AS n
   FROM (SELECT c_custkey, c_mktsegment || '/' || CAST(c_nationkey AS VARCHAR) AS name FROM customer))""")
 def q06_duplicate_suffix(spark, d) -> DataFrame:
     name = F.concat("c_mktsegment", F.lit("/"), F.col("c_nationkey").cast("string"))
@@ -169,8 +169,7 @@ def q17_line_numbers(spark, d) -> DataFrame:
   SELECT doc_id, CAST(line AS BIGINT) AS line, line_text, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS normal_line
   FROM k WHERE line_text <> '' OR (before IS NOT NULL AND before <> '' AND line < last_text)""")
 def q18_normalized_lines(spark, d) -> DataFrame:
-    drop = F.col("line_text").rlike("(?i)all rights reserved|^page [0-9]+$")
-    return text.squeeze_blank_lines(text.lines(table(spark, d, "documents"), "doc_id"), "doc_id", drop).select("doc_id", "line", "line_text", "normal_line")
+    return text.squeeze_blank_lines(table(spark, d, "documents"), "doc_id", "text", lambda x: x.rlike("(?i)all rights reserved|^page [0-9]+$"))
 
 
 @query("""WITH u AS (SELECT conv_id, turn FROM conversations), s AS (SELECT conv_id, turn AS a, turn + CASE WHEN role = 'user' THEN 1 ELSE 0 END AS b FROM conversations WHERE turn % 3 <> 2),
@@ -182,11 +181,13 @@ def q19_coverage_ledger(spark, d) -> DataFrame:
     return intervals.coverage(spans, turns.select("conv_id", "turn"), ["conv_id"], "a", "b", "turn")
 
 
-@query("""SELECT o_orderkey, CAST(k AS BIGINT) AS ordinal, m AS mention, dt AS date FROM (SELECT o_orderkey, 1 AS k, strftime(o_orderdate, '%Y/%-m/%-d') AS m, strftime(o_orderdate, '%Y-%m-%d') AS dt FROM orders
-  UNION ALL SELECT o_orderkey, 3, strftime(o_orderdate, '%Y-%m-28'), strftime(o_orderdate, '%Y-%m-28') FROM orders)""")
+@query("""WITH o AS (SELECT o_orderkey, o_orderdate AS t, strftime(o_orderdate, '%Y-%m-%d') AS dt FROM orders),
+  m AS (SELECT o_orderkey, 1 AS ordinal, strftime(t, '%Y/%-m/%-d') AS mention, dt AS date, '' AS timestamp, 'day' AS precision, 5 AS start FROM o
+    UNION ALL SELECT o_orderkey, 2, dt || ' 08:05', dt, dt || 'T08:05', 'minute', 5 + length(strftime(t, '%Y/%-m/%-d')) + 27 FROM o)
+  SELECT o_orderkey, CAST(ordinal AS BIGINT) AS ordinal, mention, date, timestamp, precision, CAST(start AS INTEGER) AS char_start, CAST(start + length(mention) AS INTEGER) AS char_end FROM m""")
 def q20_date_mentions(spark, d) -> DataFrame:
     day = F.col("o_orderdate")
-    written = F.concat(F.lit("seen "), F.date_format(day, "yyyy/M/d"), F.lit(", never 2024-02-31; signed "), F.date_format(day, "yyyy-MM"), F.lit("-28."))
+    written = F.concat(F.lit("seen "), F.date_format(day, "yyyy/M/d"), F.lit(", never 2024-02-31; signed "), F.date_format(day, "yyyy-MM-dd"), F.lit(" 08:05."))
     return dates.date_mentions(table(spark, d, "orders").select("o_orderkey", written.alias("text")), "o_orderkey")
 
 
@@ -212,18 +213,28 @@ def q23_title_classify(spark, d) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", text.title_type(F.split("text", "\n")[0], rules, 60).alias("section_type"))
 
 
-@query("""SELECT doc_id, CASE WHEN n = 0 THEN 'empty' WHEN b >= 3 AND b >= 0.02 * n THEN 'unusable' WHEN l * 2 < n THEN 'few_letters' WHEN n < 80 THEN 'short' ELSE 'ok' END AS status FROM (
-  SELECT doc_id, length(regexp_replace(text, '\\s', '', 'g')) AS n, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS l, length(text) - length(replace(text, chr(65533), '')) AS b FROM documents)""")
+@query("""WITH t AS (SELECT doc_id, length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS n, length(text) - length(replace(text, chr(65533), '')) AS b, regexp_matches(text, '[㐀-䶿一-鿿]') AS cjk FROM documents),
+  f AS (SELECT *, b >= 3 AND b >= 0.02 * greatest(n, 1) AS bad FROM t)
+  SELECT doc_id, CASE WHEN n = 0 THEN 'text_layer_unusable' WHEN bad OR n < 40 THEN 'partial' ELSE 'ok' END AS status,
+    array_to_string(list_filter([CASE WHEN n = 0 THEN 'empty_text' END, CASE WHEN n = 0 THEN 'text_layer_missing' END, CASE WHEN n BETWEEN 1 AND 39 THEN 'suspiciously_tiny_text' END,
+      CASE WHEN n > 0 AND NOT cjk THEN 'no_cjk_text' END, CASE WHEN bad THEN 'possible_encoding_issue' END], lambda x: x IS NOT NULL), '|') AS flags FROM f""")
 def q24_quality_classify(spark, d) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", quality.text_quality(F.col("text")).alias("status"))
+    q = quality.page_quality(F.col("text"), paints=F.lit(1))
+    return table(spark, d, "documents").select("doc_id", q.alias("q")).select("doc_id", "q.status", F.concat_ws("|", "q.flags").alias("flags"))
 
 
-_RULES = [evidence.Rule("rights", "legal", r"All rights reserved", "decisive"), evidence.Rule("symbols", "noise", r"[#$%&*]{3,}"), evidence.Rule("capital", "shout", r"\b[A-Z]{6,}\b", "context")]
+_RULES = [Rule("rights", "legal", "All rights reserved", "decisive"), Rule("symbols", "noise", "[#$%&*]{3,}"), Rule("capital", "shout", "[A-Z]{6,}", "context")]
 
 
-@query()
+def _spans_sql(rule: Rule) -> str:
+    return f"""SELECT doc_id, '{rule.rule_id}' AS rule_id, '{rule.category}' AS category, '{rule.strength}' AS strength, m[i] AS span_text,
+      CAST(list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS INTEGER) AS char_start
+      FROM (SELECT doc_id, m, g, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{rule.pattern}') AS m, string_split_regex(text, '{rule.pattern}') AS g FROM documents))"""
+
+
+@query("SELECT *, char_start + CAST(length(span_text) AS INTEGER) AS char_end FROM (" + " UNION ALL ".join(map(_spans_sql, _RULES)) + ")")
 def q25_span_extract(spark, d) -> DataFrame:
-    return evidence.spans(table(spark, d, "documents"), "doc_id", _RULES)
+    return rules.spans(table(spark, d, "documents"), "doc_id", _RULES)
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS o FROM (
@@ -251,14 +262,14 @@ def q28_interval_merge(spark, d) -> DataFrame:
     return intervals.merge(rows, ["l_suppkey"], "a", "b")
 
 
-@query("""WITH e AS (SELECT user_id, event_type = 'purchase' AS formal, CAST(ts AS DATE) AS day FROM events WHERE event_type IN ('purchase', 'signup') AND user_id % 3 = 0),
+@query("""WITH e AS (SELECT user_id, event_type = 'purchase' AS formal, CAST(ts AS DATE) AS day FROM events WHERE event_type IN ('purchase', 'signup')),
   f AS (SELECT user_id, day AS anchor_day, count(*) AS n_formal FROM e WHERE formal GROUP BY ALL), o AS (SELECT user_id, day, count(*) AS n FROM e WHERE NOT formal GROUP BY ALL),
-  p AS (SELECT o.*, (SELECT f.anchor_day FROM f WHERE f.user_id = o.user_id ORDER BY abs(f.anchor_day - o.day), f.anchor_day LIMIT 1) AS near FROM o),
+  p AS (SELECT o.user_id, o.day, o.n, arg_min(f.anchor_day, abs(f.anchor_day - o.day) * 100000 + (f.anchor_day - DATE '2000-01-01')) AS near FROM o LEFT JOIN f USING (user_id) GROUP BY ALL),
   a AS (SELECT user_id, CASE WHEN near IS NULL OR abs(near - day) > 2 THEN day ELSE near END AS anchor_day, sum(n) AS n_attached FROM p GROUP BY ALL)
   SELECT user_id, strftime(anchor_day, '%Y-%m-%d') AS anchor_day, coalesce(n_formal, 0) AS n_formal, CAST(coalesce(n_attached, 0) AS BIGINT) AS n_attached, coalesce(n_formal, 0) = 0 AS historical
   FROM f FULL JOIN a USING (user_id, anchor_day)""")
 def q29_surgery_events(spark, d) -> DataFrame:
-    rows = table(spark, d, "events").where("event_type in ('purchase', 'signup') and user_id % 3 = 0").select("user_id", "event_type", F.to_date("ts").alias("day"))
+    rows = table(spark, d, "events").where("event_type in ('purchase', 'signup')").select("user_id", "event_type", F.to_date("ts").alias("day"))
     return evidence.events(rows, "user_id", "event_type", "day", "purchase", 2).withColumn("anchor_day", F.date_format("anchor_day", "yyyy-MM-dd"))
 
 
@@ -274,21 +285,22 @@ def q30_patient_summary(spark, d) -> DataFrame:
     return out.withColumn("event_count_status", F.when(F.col("n_purchase") == 0, "none").when(F.col("n_error") > 0, "minimum").otherwise("exact"))
 
 
-@query("""SELECT user_id, bool_or(holds) AS holds FROM (SELECT v.user_id, v.event_type = 'view' AND NOT EXISTS (SELECT 1 FROM events s WHERE s.user_id = v.user_id AND s.event_type = 'signup' AND s.ts > v.ts) AS holds FROM events v) GROUP BY user_id""")
+@query("""WITH e AS (SELECT user_id, event_type, CASE WHEN value < 20 THEN strftime(ts, '%Y-%m') ELSE strftime(ts, '%Y-%m-%d') END AS day, event_id FROM events WHERE event_type IN ('view', 'signup')),
+  p AS (SELECT v.event_id, v.user_id, bool_and(CASE WHEN substr(v.day, 1, 7) <> substr(s.day, 1, 7) THEN v.day > s.day WHEN length(v.day) = 10 AND length(s.day) = 10 AND v.day <> s.day THEN v.day > s.day
+      WHEN length(v.day) <> length(s.day) THEN FALSE ELSE v.event_id >= s.event_id END) AS ok
+    FROM e v LEFT JOIN e s ON s.user_id = v.user_id AND s.event_type = 'signup' WHERE v.event_type = 'view' GROUP BY ALL)
+  SELECT u.user_id, coalesce(bool_or(coalesce(ok, TRUE)) FILTER (p.user_id IS NOT NULL), FALSE) AS holds FROM (SELECT DISTINCT user_id FROM e) u LEFT JOIN p USING (user_id) GROUP BY u.user_id""")
 def q31_chronology(spark, d) -> DataFrame:
-    return evidence.after_all(table(spark, d, "events"), "user_id", "event_type", "ts", "view", "signup")
+    day = F.when(F.col("value") < 20, F.date_format("ts", "yyyy-MM")).otherwise(_day("ts"))
+    rows = table(spark, d, "events").where("event_type in ('view', 'signup')").select("user_id", "event_type", day.alias("day"), "event_id")
+    return evidence.after_all(rows, "user_id", "event_type", "day", "event_id", "view", "signup")
 
 
-@query("""WITH l AS (SELECT concat_ws('/', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, l_orderkey AS doc, l_linenumber // 3 AS sect, CAST(min(l_shipdate) AS DATE) AS day, min(l_returnflag) = 'N' AS sub
-    FROM lineitem GROUP BY l_orderkey, l_linenumber, l_partkey, l_suppkey)
-  SELECT a.id, count(b.id) AS n_peers FROM l a LEFT JOIN l b ON b.doc = a.doc AND b.id <> a.id AND (b.sect = a.sect OR (b.day = a.day AND b.sub)) GROUP BY a.id""")
+@query("""WITH l AS (SELECT l_orderkey AS doc, l_linenumber // 3 AS sect, CAST(l_shipdate AS DATE) AS day, l_returnflag = 'N' AS sub FROM lineitem)
+  SELECT doc, sect, day, count(*) AS n_rows, CAST(max((SELECT count(*) FROM l b WHERE b.doc = a.doc AND (b.sect = a.sect OR (b.day = a.day AND b.sub)))) AS BIGINT) AS n_peers FROM l a GROUP BY ALL""")
 def q32_context_peers(spark, d) -> DataFrame:
-    parts = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    key = F.concat_ws("/", *(F.col(c).cast("string") for c in parts))
-    sect = F.floor(F.col("l_linenumber") / 3)
-    lines = table(spark, d, "lineitem").groupBy(*parts).agg(F.min("l_shipdate").alias("l_shipdate"), F.min("l_returnflag").alias("l_returnflag"))
-    rows = lines.select(key.alias("id"), F.col("l_orderkey").alias("doc"), sect.alias("sect"), F.to_date("l_shipdate").alias("day"), F.col("l_returnflag"))
-    return evidence.peers(rows, "id", ["doc", "sect"], ["doc", "day"], F.col("l_returnflag") == "N")
+    rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc"), F.floor(F.col("l_linenumber") / 3).alias("sect"), F.to_date("l_shipdate").alias("day"), "l_returnflag")
+    return evidence.peers(rows, "doc", "sect", "day", F.col("l_returnflag") == "N")
 
 
 @query("SELECT l_partkey, count(DISTINCT l_suppkey) AS n_origins FROM lineitem WHERE l_returnflag <> 'N' GROUP BY l_partkey HAVING count(DISTINCT l_suppkey) > 1")
@@ -421,18 +433,23 @@ def q49_search_sections(spark, d) -> DataFrame:
     return explorer.search(table(spark, d, "documents"), "doc_id", "text", "the", 20, 100)
 
 
-@query("""WITH e AS (SELECT o_orderkey, 'nation' AS method, CAST(c2.c_custkey AS VARCHAR) AS candidate FROM orders JOIN customer c1 ON o_custkey = c1.c_custkey JOIN customer c2 ON c1.c_nationkey = c2.c_nationkey AND c1.c_mktsegment = c2.c_mktsegment WHERE o_orderkey % 50 = 0
-    UNION SELECT o_orderkey, 'number', CAST(o_custkey + k AS VARCHAR) FROM orders, (VALUES (0), (1)) t(k) WHERE o_orderkey % 100 < 50),
-  n AS (SELECT o_orderkey, count(DISTINCT method) AS m FROM e GROUP BY 1), c AS (SELECT o_orderkey, candidate FROM e GROUP BY ALL HAVING count(DISTINCT method) = (SELECT m FROM n WHERE n.o_orderkey = e.o_orderkey)),
-  g AS (SELECT o_orderkey, count(*) AS k, string_agg(candidate, '|' ORDER BY candidate) AS s FROM c GROUP BY 1)
-  SELECT o.o_orderkey, CAST(coalesce(m, 0) AS BIGINT) AS n_methods, coalesce(s, '') AS candidates, CASE WHEN m IS NULL THEN 'unmatched' WHEN k = 1 THEN 'matched' ELSE 'ambiguous' END AS match_status, CASE WHEN k = 1 THEN s END AS matched
-  FROM orders o LEFT JOIN n USING (o_orderkey) LEFT JOIN g USING (o_orderkey)""".replace("HAVING count(DISTINCT method) = (SELECT m FROM n WHERE n.o_orderkey = e.o_orderkey)", "HAVING count(DISTINCT method) = any_value(m)").replace("SELECT o_orderkey, candidate FROM e GROUP BY ALL", "SELECT o_orderkey, candidate FROM e JOIN n USING (o_orderkey) GROUP BY o_orderkey, candidate"))
+@query("""WITH c AS (SELECT c_custkey, c_mktsegment || '/' || CAST(c_nationkey AS VARCHAR) || '/' || CAST(c_custkey // 4 AS VARCHAR) AS name FROM customer),
+  r AS (SELECT o_orderkey, 'name' AS method, name AS value FROM orders JOIN c ON o_custkey = c_custkey WHERE o_orderstatus <> 'P'
+    UNION ALL SELECT o_orderkey, 'number', CAST(o_custkey + k AS VARCHAR) FROM orders, (VALUES (0), (1)) t(k) WHERE o_orderpriority < '4' AND (k = 0 OR o_totalprice > 100000)),
+  i AS (SELECT 'name' AS method, name AS value, c_custkey AS candidate FROM c UNION ALL SELECT 'number', CAST(c_custkey AS VARCHAR), c_custkey FROM c),
+  e AS (SELECT DISTINCT o_orderkey, method, candidate FROM r JOIN i USING (method, value)), n AS (SELECT o_orderkey, count(DISTINCT method) AS m FROM e GROUP BY 1),
+  g AS (SELECT o_orderkey, count(*) AS k, min(candidate) AS one FROM (SELECT o_orderkey, candidate, count(*) AS x FROM e GROUP BY ALL) JOIN n USING (o_orderkey) WHERE x = m GROUP BY 1)
+  SELECT o.o_orderkey, CAST(coalesce(m, 0) AS BIGINT) AS n_methods, CAST(coalesce(k, 0) AS BIGINT) AS n_candidates, CASE WHEN m IS NULL THEN 'unmatched' WHEN k = 1 THEN 'matched' ELSE 'ambiguous' END AS match_status,
+    CASE WHEN k = 1 THEN one END AS matched FROM orders o LEFT JOIN n USING (o_orderkey) LEFT JOIN g USING (o_orderkey)""")
 def q50_match_resolution(spark, d) -> DataFrame:
-    orders, customer = table(spark, d, "orders").select("o_orderkey", "o_custkey"), table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    own = orders.where("o_orderkey % 50 = 0").join(customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey", "c_mktsegment")
-    by_name = own.join(customer, ["c_nationkey", "c_mktsegment"]).select("o_orderkey", F.lit("nation").alias("method"), F.col("c_custkey").cast("string").alias("candidate"))
-    by_number = orders.where("o_orderkey % 100 < 50").select("o_orderkey", F.lit("number").alias("method"), F.explode(F.array(F.col("o_custkey").cast("string"), (F.col("o_custkey") + 1).cast("string"))).alias("candidate"))
-    return identity.resolve_matches(by_name.unionByName(by_number), orders, "o_orderkey")
+    orders, customer = table(spark, d, "orders"), table(spark, d, "customer")
+    named = customer.select("c_custkey", F.concat_ws("/", "c_mktsegment", F.col("c_nationkey").cast("string"), F.floor(F.col("c_custkey") / 4).cast("string")).alias("name"))
+    by_name = orders.where("o_orderstatus <> 'P'").join(named, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", F.lit("name").alias("method"), F.col("name").alias("value"))
+    numbers = F.when(F.col("o_totalprice") > 100000, F.array(F.col("o_custkey"), F.col("o_custkey") + 1)).otherwise(F.array("o_custkey"))
+    by_number = orders.where("o_orderpriority < '4'").select("o_orderkey", F.lit("number").alias("method"), F.explode(numbers.cast("array<string>")).alias("value"))
+    index = named.select(F.lit("name").alias("method"), F.col("name").alias("value"), F.col("c_custkey").alias("candidate")).unionByName(named.select(F.lit("number").alias("method"), F.col("c_custkey").cast("string").alias("value"), F.col("c_custkey").alias("candidate")))
+    found = by_name.unionByName(by_number).join(index, ["method", "value"]).select("o_orderkey", "method", "candidate").distinct()
+    return identity.resolve_matches(found, orders, "o_orderkey")
 
 
 @query("""SELECT l_returnflag, quantile_cont(l_quantity, 0.5) AS median_quantity, round(sum(l_discount * l_quantity) / sum(l_quantity), 6) AS weighted_discount, count(*) AS n FROM lineitem GROUP BY l_returnflag""")
