@@ -16,7 +16,7 @@ def test_cohort(spark, tmp_path, encoding):
     p.write_bytes("住院号,门诊号,姓名\n001234,01,甲\n,01,乙\n,,丙\n,,丙\n".encode(encoding))
     rows = readers.with_subject_ids(readers.load_cohort(spark, str(p), COLUMNS), "inpatient", "outpatient", "name").orderBy("csv_row").collect()
     assert [r.csv_row for r in rows] == [2, 3, 4, 5] and rows[0].inpatient == "001234"
-    assert rows[3].patient_id == rows[2].patient_id + "_duplicate_1" and len({r.patient_id for r in rows}) == 4
+    assert rows[3].patient_id == rows[2].patient_id + "_duplicate_2" and len({r.patient_id for r in rows}) == 4
     with pytest.raises(ValueError):
         readers.load_cohort(spark, str(p), {"x": "no such column"})
 
