@@ -221,15 +221,16 @@ RATIOS = {
 
 def evaluation(scored: DataFrame) -> DataFrame:
     """(stratum, metric, value): scores over all units ('all') and by stratum, from sums; null over nothing."""
-    sums = scored.where("mode = ''").cube("stratum").pivot("metric", sorted({c for p in RATIOS.values() for c in p} | {f"boundary_{k}_{x}" for k in ("exact", "tolerant") for x in ("tp", "fp", "fn")} | {"section_iou_milli_sum"})).agg(F.sum("n")).fillna(0)
+    each = scored.where("mode = ''").select(F.explode(F.array("stratum", F.lit("all"))).alias("stratum"), "metric", "n")
+    sums = each.groupBy("stratum").pivot("metric", sorted({c for p in RATIOS.values() for c in p} | {f"boundary_{k}_{x}" for k in ("exact", "tolerant") for x in ("tp", "fp", "fn")} | {"section_iou_milli_sum"})).agg(F.sum("n")).fillna(0)
 
     def f1(kind: str) -> Column:
         tp, fp, fn = (F.col(f"boundary_{kind}_{x}") for x in ("tp", "fp", "fn"))
         return ratio(2 * tp, 2 * tp + fp + fn)
 
     values = {k: ratio(F.col(a), F.col(b)) for k, (a, b) in RATIOS.items()} | {"boundary_exact_f1": f1("exact"), "boundary_tolerant_f1": f1("tolerant"), "section_mean_iou": ratio(F.col("section_iou_milli_sum"), 1000 * F.col("matched_sections"))}
-    each = F.explode(F.array(*(F.struct(F.lit(k).alias("metric"), v.alias("value")) for k, v in values.items())))
-    return sums.select(F.coalesce("stratum", F.lit("all")).alias("stratum"), each.alias("x")).select("stratum", "x.*")
+    scores = F.explode(F.array(*(F.struct(F.lit(k).alias("metric"), v.alias("value")) for k, v in values.items())))
+    return sums.select("stratum", scores.alias("x")).select("stratum", "x.*")
 
 
 def failure_counts(scored: DataFrame) -> DataFrame:

@@ -524,7 +524,8 @@ def summary(selection: DataFrame, found: DataFrame, operations: DataFrame) -> Da
     adrift = F.filter("_done", lambda x: ~F.array_contains(assigned, x.evidence_id))
     ocr = F.exists("_done", lambda x: F.coalesce(x.date_requires_review, F.lit(False)))
     unknown = m == "unknown"
-    rows = rows.withColumns({"_adrift": adrift, "_old": old, "_unsure": operated & ~known, "_ocr": ocr, **_context(m, operated)})
+    rows = rows.withColumns({"_adrift": adrift, "_old": old, "_unsure": operated & ~known, "_ocr": ocr, "_context": _context(m, operated)})
+    rows = rows.withColumns({n: F.col(f"_context.{n}") for n in CONTEXT})
     complex_ = F.size("complex_case_review_reasons") > 0
     soft = (m == "conservative") & ~has["firm"]
     why = reasons([
@@ -563,7 +564,10 @@ def summary(selection: DataFrame, found: DataFrame, operations: DataFrame) -> Da
     )
 
 
-def _context(m: Column, operated: Column) -> dict[str, Column]:
+CONTEXT = ["other_cardiac_procedure_status", "other_procedure_modes", "other_procedure_categories", "aaoca_handling_during_other_procedure", "other_procedure_contexts", "management_complexity_flags", "complex_case_review_priority", "complex_case_review_reasons"]
+
+
+def _context(m: Column, operated: Column) -> Column:
     """Other procedures of a subject, how the vessel was handled in each, and flags of complex cases."""
 
     def said(x: Column) -> Column:
@@ -636,9 +640,7 @@ def _context(m: Column, operated: Column) -> dict[str, Column]:
             F.when(high, "high").when(F.size(why) > 0, "medium").otherwise("routine").alias("complex_case_review_priority"), why.alias("complex_case_review_reasons"),
         )
 
-    whole = let(contexts, flags)
-    names = ("other_cardiac_procedure_status", "other_procedure_modes", "other_procedure_categories", "aaoca_handling_during_other_procedure", "other_procedure_contexts", "management_complexity_flags", "complex_case_review_priority", "complex_case_review_reasons")
-    return {n: whole.getField(n) for n in names}
+    return let(contexts, flags)
 
 
 def review_queue(summaries: DataFrame) -> DataFrame:

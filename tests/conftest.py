@@ -19,6 +19,9 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.wholeStage", "false")  # long rule expressions over few rows: compiling costs more than it saves
+        .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
+        .config("spark.driver.memory", "3g")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
         .getOrCreate()
     )

@@ -2,7 +2,7 @@
 
 import pytest
 
-from sparkfolio.operators import followup
+from sparkfolio.operators import followup, validate
 
 SECTION = "patient_id string, document_id string, section_id string, section_type string, section_subtype string, section_title string, section_date string, page_start int, text string"
 D = "出院诊断:冠状动脉起源异常\n"
@@ -47,13 +47,13 @@ CASES = {
 def found(spark):
     rows = [(p, f"doc_{p}", f"doc_{p}_s{i:04d}", kind, sub, sub or kind, day, page, text) for p, (sections, _) in CASES.items() for i, (kind, sub, day, page, text) in enumerate(sections, 1)]
     sections = spark.createDataFrame(rows, SECTION)
-    return sections, followup.evidence(sections).cache()
+    return sections, validate.cut(followup.evidence(sections))
 
 
 def test_paths(spark, found):
     procedure = {"other_done": "completed_other_cardiac_procedure", "tests_only": "diagnostic_only_documented"}
     sources = spark.createDataFrame([(p, "yes" if p == "operated" else "unknown", procedure.get(p, ""), "") for p in CASES], "patient_id string, actual_aaoca_surgery string, other_cardiac_procedure_status string, complex_case_review_priority string")
-    out = followup.classify(sources, found[1]).cache()
+    out = validate.cut(followup.classify(sources, found[1]))
     rows = {r.patient_id: r for r in out.collect()}
     wrong = {(p, k): (rows[p][k], v) for p, (_, wanted) in CASES.items() for k, v in wanted.items() if rows[p][k] != v}
     assert wrong == {}

@@ -84,22 +84,22 @@ def charts(spark):
         _section("p2", "b_s0001", "术中探查右冠状动脉，予松解。" + "无关内容。" * 300 + "既往未接受过手术。", "procedure", "round", "2023-01-01"), _section("p3", "c_s0001", "门诊记录，一般情况可。", "outpatient"),
         _section("p4", "d_s0001", "诊断AAOCA，原计划外科手术治疗，家属拒绝手术，暂予出院。", "discharge", day="2023-05-05"),
     ]
-    sections = spark.createDataFrame(rows, SECTION).cache()
-    found = management.evidence(sections).cache()
-    events = management.events(found).cache()
+    sections = spark.createDataFrame(rows, SECTION)
+    found = validate.cut(management.evidence(sections))
+    events = validate.cut(management.events(found))
     selection = sections.select("patient_id").distinct()
-    return sections, found, events, selection, management.summary(selection, found, events).cache()
+    return sections, found, events, selection, validate.cut(management.summary(selection, found, events))
 
 
 def test_routing_and_requests(spark, charts):
     sections, found, _, _, summary = charts
     routed = {r.patient_id: (r.route, r.reasons) for r in casework.route(summary, found, sections).collect()}
     assert routed["p1"][0] == "rules_sufficient" and routed["p3"] == ("insufficient_documentation", []) and routed["p2"][0] == "needs_llm" and "coronary_action_without_resolved_target" in routed["p2"][1]
-    passages = casework.passages(sections, found, 400).cache()
+    passages = validate.cut(casework.passages(sections, found, 400))
     both = passages.join(sections.select("section_id", F.col("text").alias("t")), "section_id")
     assert both.where("substring(t, section_char_start + 1, section_char_end - section_char_start) <> text").count() == 0
     assert passages.groupBy("section_id").agg(F.sum(F.length("text")).alias("n")).where("n > 400").count() == 0 and passages.where("patient_id = 'p3'").count() == 1
-    asked = casework.requests(summary, found, passages).cache()
+    asked = validate.cut(casework.requests(summary, found, passages))
     assert casework.request_errors(asked).count() == 0 and casework.request_errors(asked.withColumn("payload", F.concat("payload", F.lit(" ")))).count() == 4
     assert casework.selected(summary, "unknown").count() == 2 and casework.selected(summary, "all").count() == 4
     windows = casework.case_windows(sections, found, 200)
@@ -136,7 +136,7 @@ def test_case_tools(charts):
     assert casework.assessment_errors({**answer, "observed_management": "surgery", "citations": []}, tools)[0] == ["management_actual_overall_inconsistent", "factual_conclusion_without_citation", "actual_no_requires_direct_negative_surgical_history"]
     assert casework.final_object('x {"a": 1} then ```json\n{"b": {"c": 2}}\n```') == {"b": {"c": 2}}
     with pytest.raises(ValueError):
-        casework.final_object('{"a": {"b": 1}')
+        casework.final_object('{"a": {"b": 1}, "c"')
 
 
 def test_management_errors(charts):
@@ -153,14 +153,14 @@ def test_management_errors(charts):
 def run(spark):
     pages = spark.createDataFrame([("d1", 1, "导航\n2024-01-02 08:30 日常病程\n甲", "ok", "p1"), ("d1", 2, "2024-01-03 09:15 手术记录\n丙", "ok", "p1"), ("d2", 1, "门诊记录\n乙", "ok", "p2")], "document_id string, page int, text string, extraction_status string, patient_id string")
     pages = pages.withColumn("normalized_text", F.col("text")).withColumns({"char_count": F.length("text"), "flags": F.array().cast("array<string>")}).cache()
-    sections = segment.with_page_facts(segment.sections(pages), pages).cache()
-    line = timeline.make(sections).cache()
+    sections = validate.cut(segment.with_page_facts(segment.sections(pages), pages))
+    line = validate.cut(timeline.make(sections))
     docs = segment.documents(sections).select("document_id", "n_sections").join(pages.groupBy("document_id", "patient_id").agg(F.count(F.lit(1)).alias("page_count"), F.sum("char_count").alias("extracted_character_count")), "document_id")
     docs = docs.withColumns({"sha256": F.sha2("document_id", 256), "duplicate_of": F.lit(""), "match_status": F.lit("matched"), "parse_status": F.lit("ok"), "flags": F.array().cast("array<string>"), "ocr_recovered_page_count": F.lit(0)})
     copy = docs.where("document_id = 'd1'").withColumns({"document_id": F.lit("d3"), "duplicate_of": F.lit("d1")})
-    docs = docs.unionByName(copy).cache()
+    docs = validate.cut(docs.unionByName(copy))
     cohort = spark.createDataFrame([("p1", True, False), ("p2", True, True), ("p3", False, True)], "patient_id string, has_inpatient_id boolean, has_outpatient_id boolean")
-    return quality.patient_manifest(cohort, docs, sections, line).cache(), docs, pages, sections, line
+    return validate.cut(quality.patient_manifest(cohort, docs, sections, line)), docs, pages, sections, line
 
 
 def test_output_errors(run):

@@ -2,7 +2,7 @@
 
 import pytest
 
-from sparkfolio.operators import management, matching, relevance
+from sparkfolio.operators import management, matching, relevance, validate
 
 COHORT = "csv_row int, inpatient_id string, outpatient_id string, name string"
 FILE = "document_id string, source_pdf string, header_text string"
@@ -30,7 +30,7 @@ def test_matching(spark, cohort):
         ("typo", "/x/测试申-病历.pdf", "/BasicInfo/01000002/005678)"), ("body", "/x/某某.pdf", "检验结果001234 正常"), ("number", "/x/报告 005678.pdf", None), ("outpatient", "/x/某某.pdf", "门诊号: 01000001"),
         ("two", "/x/测试甲.pdf", "/BasicInfo/01000001/001234) /BasicInfo/01000001/008888)"), ("label", "/x/测试乙.pdf", "/BasicInfo/01000002/005678) 住院号:004444"),
     ]
-    m = matching.resolve(spark.createDataFrame(files, FILE), cohort).cache()
+    m = validate.cut(matching.resolve(spark.createDataFrame(files, FILE), cohort))
     got = {r.document_id: (r.match_status, r.patient_id, r.match_method) for r in m.collect()}
     assert got["name"] == ("matched", ids[3], "filename_exact_name") and got["shared"][:2] == ("matched", ids[2]) and got["typo"] == ("matched", ids[3], "header_inpatient_id+header_outpatient_id")
     assert got["conflict"][:2] == ("ambiguous", "") and got["body"][:2] == ("unmatched", "") and got["number"][:2] == ("matched", ids[3]) and got["outpatient"][:2] == ("ambiguous", "")
@@ -65,8 +65,8 @@ def judged(spark):
     ]
     sections = spark.createDataFrame(rows, SECTION)
     manifest = spark.createDataFrame([(r[0], 1) for r in rows] + [("p_missing", 0)], "patient_id string, n_pdf long")
-    found = relevance.signals(sections).cache()
-    return found, relevance.judge(manifest, sections, found).cache()
+    found = validate.cut(relevance.signals(sections))
+    return found, validate.cut(relevance.judge(manifest, sections, found))
 
 
 def test_relevance(judged):
@@ -111,10 +111,10 @@ def managed(spark):
         _section("p_later", "b9_s0002", "右冠状动脉起源于左冠窦。心脏内外科讨论建议手术，家属表示再考虑并办理出院。", "discharge"),
     ]
     sections = spark.createDataFrame(rows, SECTION)
-    found = management.evidence(sections).cache()
-    operations = management.events(found).cache()
+    found = validate.cut(management.evidence(sections))
+    operations = validate.cut(management.events(found))
     selection = spark.createDataFrame(sorted({(r[0],) for r in rows} | {("p_none",)}), "patient_id string")
-    return sections, found, operations, management.summary(selection, found, operations).cache()
+    return sections, found, operations, validate.cut(management.summary(selection, found, operations))
 
 
 def test_management(managed):
