@@ -16,9 +16,12 @@ import os
 import struct
 import unicodedata
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,9 +30,11 @@ from . import common
 
 PRECISION = 20
 LANES = 64
-STEPS = 512
+STEPS = 256
 SEGMENT = LANES * STEPS
-BLOCK = 16 * SEGMENT
+BLOCK = 32 * SEGMENT
+#: Bytes of text whose distinct words are looked up together.
+SLICE = 4 << 20
 _LOW = np.uint64(1 << 31)
 _HEAD = struct.Struct("<4sIQIII")  # magic, precision, ids, segments, steps, crc32 of the rest
 
@@ -131,46 +136,83 @@ def _byte_letters() -> dict[int, str]:
     return out
 
 
-class WordCache(dict):
-    """Ids (little-endian, unsigned 32-bit) of pieces of text between spaces. The tokenizer drops white space and no rule of
-    its reaches across it, so that pieces are encoded alone; those seen lately are kept, about `most` of them.
+#: Letters and ASCII signs but the apostrophe: the tokenizer's pattern cuts such a word into runs of letters and runs of signs.
+_SIMPLE = regex.compile(r"[\p{L}!-&(-/:-@\[-`{-~]+")
+_RUNS = regex.compile(r"\p{L}+|[^\p{L}]+")
 
-    Plain words go straight to the tokenizer's model: letters below U+0250 in composed form are one piece to it, in lower
-    case, and so is a punctuation mark after them. All else goes through the whole tokenizer."""
 
-    def __init__(self, path: str, most: int = 1 << 19):
-        super().__init__()
+class WordTable:
+    """Ids of pieces of text between spaces, in flat arrays: the pieces as one Arrow column, their ids in a row. The tokenizer
+    drops white space, and neither a rule of its nor an added token reaches across it, so that pieces are encoded alone;
+    when there are more than `most` of them the table begins anew.
+
+    Letters below U+0250 in composed form are one piece to it, in lower case, and go straight to its model; so is a run of
+    ASCII signs. All else, added tokens and apostrophes among it, goes through the whole tokenizer."""
+
+    def __init__(self, path: str, most: int = 1 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.most = most
-        self.letters = _byte_letters()
-        self.model = self.tokenizer.model
-
-    def __missing__(self, word: str) -> bytes:
-        if word.isalpha() and max(word) < "\u0250" and "\u0130" not in word and unicodedata.is_normalized("NFC", word):
-            low = word.lower()
-            if low != word:
-                found = self[low]
+        self.letters, self.tokenize = _byte_letters(), self.tokenizer.model.tokenize
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._clear()
+
+    def _clear(self) -> None:
+        self.words, self.pool = pa.array([], pa.string()), np.empty(0, "<u4")
+        self.starts = np.zeros(1, np.int64)
+
+    def _alone(self, word: str) -> array:
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids)
+
+    def _run(self, run: str) -> array:
+        """The ids of a run of small letters, or of signs."""
+        if not run.isalpha():
+            return self._alone(run)
+        if not run.isascii():
+            run = run.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.tokenize(run)])
+
+    def _learn(self, words: list[str]) -> None:
+        known: dict[str, array] = {}
+        out, ends = array("I"), []
+        for w in words:
+            if not (w.isascii() or max(w) < "\u0250" and "\u0130" not in w and unicodedata.is_normalized("NFC", w)):
+                out.extend(self._alone(w))
+            elif w.isalpha():
+                out.extend(known.get(low := w.lower()) or known.setdefault(low, self._run(low)))
+            elif _SIMPLE.fullmatch(w) and not any(t in w for t in self.added):
+                for r in _RUNS.findall(w.lower()):
+                    out.extend(known.get(r) or known.setdefault(r, self._run(r)))
             else:
-                plain = low if low.isascii() else low.encode().decode("latin-1").translate(self.letters)
-                found = np.array([t.id for t in self.model.tokenize(plain)], "<u4").tobytes()
-        elif len(word) > 1 and word[-1] in ".,;:!?" and word[:-1].isalpha():
-            found = self[word[:-1]] + self[word[-1]]
-        else:
-            found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        self[word] = found
-        return found
-
-    def encode(self, text: str) -> bytes:
-        if len(self) > self.most:
-            self.clear()
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
-
-
-_CACHES: dict[str, WordCache] = {}
+                out.extend(self._alone(w))
+            ends.append(len(out))
+        self.words = pa.concat_arrays([self.words, pa.array(words, pa.string())])
+        self.starts = np.concatenate([self.starts, len(self.pool) + np.array(ends, np.int64)])
+        self.pool = np.concatenate([self.pool, np.frombuffer(out, "<u4")])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, offsets by text). Each distinct piece of the slice is looked up once."""
+        pieces = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        counts = pc.list_value_length(pieces).to_numpy()
+        coded = pieces.flatten().dictionary_encode()
+        if len(self.words) > self.most:
+            self._clear()
+        place = pc.index_in(coded.dictionary, value_set=self.words)
+        new, at = pc.is_null(place), np.array(pc.fill_null(place, 0).to_numpy(), np.int64)
+        unknown = coded.dictionary.filter(new)
+        if len(unknown):
+            at[new.to_numpy(zero_copy_only=False)] = len(self.words) + np.arange(len(unknown))
+            self._learn(unknown.to_pylist())
+        of = at[coded.indices.to_numpy()]
+        n = (self.starts[1:] - self.starts[:-1])[of]
+        ends = np.append(0, np.cumsum(n))
+        ids = self.pool[np.arange(ends[-1]) + np.repeat(self.starts[of] - ends[:-1], n)]
+        return ids, ends[np.append(0, np.cumsum(counts))]
+
+
+_CACHES: dict[str, WordTable] = {}
 _BLOCKS = "part int, block int, doc_ids array<long>, lengths array<int>, ids binary"
 
 
@@ -178,7 +220,7 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, partitions:
     """Documents in ascending id order as blocks of whole documents: (part, block, doc_ids, lengths, ids)."""
 
     def run(batches):
-        cache = _CACHES.get(tokenizer_path) or _CACHES.setdefault(tokenizer_path, WordCache(tokenizer_path))
+        cache = _CACHES.get(tokenizer_path) or _CACHES.setdefault(tokenizer_path, WordTable(tokenizer_path))
         part, block, held, size = TaskContext.get().partitionId(), 0, [], 0
         end = np.array([end_id], "<u4").tobytes()
 
@@ -192,11 +234,11 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, partitions:
             )
 
         for batch in batches:
-            for some in common.pieces(batch, "text"):
-                for d, text in zip(some.column("doc_id").to_pylist(), some.column("text").to_pylist(), strict=True):
-                    x = cache.encode(text or "")
-                    held.append((d, x + end))
-                    size += len(x) // 4 + 1
+            for some in common.pieces(batch, "text", SLICE):
+                ids, offsets = cache.encode(some.column("text"))
+                for d, a, b in zip(some.column("doc_id").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                    held.append((d, ids[a:b].tobytes() + end))
+                    size += b - a + 1
                     if size >= BLOCK:
                         yield row()
                         block, held, size = block + 1, [], 0
