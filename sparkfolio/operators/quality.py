@@ -94,7 +94,7 @@ def cohort_summary(manifest: DataFrame, documents: DataFrame, sections: DataFram
     ]
 
     def counter(name: str, rows: DataFrame, value: Column) -> DataFrame:
-        return rows.groupBy(value.alias("v")).agg(one.alias("n")).where("v is not null").select(F.concat(F.lit(f"{name}."), F.col("v").cast("string")).alias("metric"), F.col("n").cast("double").alias("value"))
+        return rows.select(value.alias("v")).where("v is not null").groupBy("v").agg(one.alias("n")).select(F.concat(F.lit(f"{name}."), F.col("v").cast("string")).alias("metric"), F.col("n").cast("double").alias("value"))
 
     parts += [
         counter("pdf_parse_status", canonical, F.col("parse_status")), counter("pdf_flags", canonical, F.explode("flags")), counter("page_status", pages, F.col("extraction_status")), counter("page_flags", pages, F.explode("flags")),

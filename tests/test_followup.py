@@ -36,7 +36,7 @@ CASES = {
     "unhandled": ([("administrative", "treatment_procedure_consent", "2025-01-01", 1, "术前诊断:冠状动脉起源异常。拟定手术方式:冠状动脉开口扩大术或冠状动脉移植术。"), ("admission", "", "2025-06-01", 1, "既往疾病史:冠状动脉起源异常未处理。")], {"surgery_indication": "yes", "decision_path": "surgery_indicated_not_done_other"}),
     "opening": ([("progress", "first_round", "2025-01-01", 1, "患儿右冠状动脉开口于左冠状窦，建议随访，注意是否有缺血表现。")], {"decision_path": "clinician_conservative_other"}),
     "plan": ([("admission", "", "2025-01-01", 1, "冠状动脉起源异常，计划完善检查后拟行手术治疗。")], {"observed_aaoca_treatment_outcome": "unknown"}),
-    "spaced": ([("discharge", "", "2025-01-01", 1, "出院诊断:冠 状动脉起 源异常，经讨论暂无手 术指\n征。")], {"surgery_indication": "no"}),
+    "spaced": ([("discharge", "", "2025-01-01", 1, "出院诊断:冠状动脉起源异常，经讨论暂无手 术指 征。")], {"surgery_indication": "no"}),
     "other_done": ([], {"decision_path": "other_cardiac_procedure_aaoca_handling_unresolved"}),
     "tests_only": ([], {"decision_path": "diagnostic_workup_terminal_decision_unresolved"}),
     "operated": ([], {"followup_management": "surgery"}),
