@@ -17,8 +17,8 @@ from __future__ import annotations
 
 import base64
 import uuid
-import zlib
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,9 +28,14 @@ _SPACE = "\\x09-\\x0D\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\
 #: The pattern of the rank files with white space spelt out, as Java's \s is ASCII; alternatives that begin with
 #: different characters stand in order of frequency.
 PATTERN = rf" ?\p{{L}}++| ?\p{{N}}++|'(?:s|t|re|ve|m|ll|d)| ?[^{_SPACE}\p{{L}}\p{{N}}]++|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
-BUCKETS = 1 << 13
+#: Places of the table of ranks, some for each piece, and of the table of frequent words.
+BUCKETS = 1 << 16
+HOT_BUCKETS = 1 << 18
+#: Frequent words that are folded once and bound as a literal: at most so many, of so many bytes in all.
 HOT = 1 << 18
-_NONE = (1 << 31) - 1
+HOT_BYTES = 16 << 20
+_BITS = 32
+_NONE = (1 << 30) << _BITS  # no rank: above all ranks, with room for a place
 
 
 def let(value: Column, body) -> Column:
@@ -53,99 +58,126 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+def _place(key: Column, buckets: int) -> Column:
+    return F.pmod(F.hash(key), F.lit(buckets))
+
+
+def table(entries: DataFrame, key: str, value: str, buckets: int) -> DataFrame:
+    """One row: an array of small maps from key to value, found by a hash of the key."""
+    spark = entries.sparkSession
+    filled = entries.groupBy(_place(F.col(key), buckets).cast("long").alias("id")).agg(F.map_from_entries(F.collect_list(F.struct(key, value))).alias("m"))
+    every = spark.range(buckets).join(filled, "id", "left")
+    gathered = every.agg(F.array_sort(F.collect_list(F.struct("id", "m")), lambda a, b: (a.id - b.id).cast("int")).alias("rows"))
+    return common.materialize(gathered.select(F.transform("rows", lambda x: x.m).alias("t")))
+
+
+def _find(found: Column, key: Column, buckets: int) -> Column:
+    return F.try_element_at(F.get(found, _place(key, buckets)), key)
+
+
 class Vocabulary:
-    """Literals: ranks (an array of maps from hex pieces), pieces and ids as little-endian hex by id."""
+    """Literals: ranks (a table from pieces), and for each id its little-endian bytes and its piece, as strings of bytes."""
 
     def __init__(self, spark: SparkSession, path: str):
         ranks = load_ranks(path)
-        maps: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-        size = max(ranks.values()) + 1
-        pieces, little = [""] * size, [""] * size
-        for piece, rank in ranks.items():
-            key = piece.hex().upper()
-            maps[zlib.crc32(key.encode()) % BUCKETS][key] = rank
-            pieces[rank], little[rank] = key, rank.to_bytes(4, "little").hex()
-        row = spark.createDataFrame([(maps, pieces, little)], "ranks array<map<string,int>>, pieces array<string>, little array<string>")
-        self.ranks, self.pieces, self.little = (literal(row.select(c)) for c in ("ranks", "pieces", "little"))
+        rows = pa.table({"piece": pa.array(list(ranks), pa.binary()), "rank": pa.array(list(ranks.values()), pa.int32()), "little": pa.array([r.to_bytes(4, "little") for r in ranks.values()], pa.binary())})
+        pieces = spark.createDataFrame(rows)
+        self.ranks = literal(table(pieces, "piece", "rank", BUCKETS))
+        if max(ranks.values()) + 1 != len(ranks):
+            raise ValueError("ids are not gapless")
+        by_id = F.array_sort(F.collect_list(F.struct("rank", F.col("little").cast("string").alias("little"), F.col("piece").cast("string").alias("piece"))), lambda a, b: a["rank"] - b["rank"])
+        one = common.materialize(pieces.agg(by_id.alias("x")))
+        self.little, self.pieces = (literal(one.select(F.col(f"x.{c}"))) for c in ("little", "piece"))
 
 
-def _find(table: Column, key: Column, buckets: int = BUCKETS) -> Column:
-    return F.try_element_at(F.get(table, F.pmod(F.crc32(key), F.lit(buckets)).cast("int")), key)
+def fold(ranks: Column, word: Column) -> Column:
+    """Ids of a word. The state is an array of its pieces, each a number: the rank of the pair that it makes with the next
+    piece, above the place of its first byte, so that the least number is the leftmost pair of least rank. The first and
+    the last piece are empty."""
 
+    def folded(key: Column) -> Column:
+        n = F.length(key)
 
-def fold(ranks: Column, word: Column) -> Column:
-    """Ids of a word."""
+        def numbered(start: Column, end: Column, real: Column) -> Column:
+            rank = F.coalesce(_find(ranks, F.substring(key, start + 1, end - start), BUCKETS).cast("long"), F.lit(1 << 30))
+            return F.when(real, F.shiftleft(rank, _BITS)).otherwise(_NONE) + start
 
-    def rank(pair: Column) -> Column:
-        return F.coalesce(_find(ranks, pair), F.lit(_NONE))
+        def place(x: Column) -> Column:
+            return x.bitwiseAND(F.lit((1 << _BITS) - 1)).cast("int")
 
-    def start(parts: Column) -> Column:
-        pairs = F.transform(F.slice(parts, 2, F.size(parts)), lambda x, i: rank(F.concat(F.get(parts, i), x)))
-        return F.struct(parts.alias("parts"), pairs.alias("ranks"))
+        def merge(state: Column, low: Column) -> Column:
+            def at(k: Column) -> Column:  # k: where the pair stands, from 1; never the first, as that one has no rank
+                def ends(e: Column) -> Column:
+                    left = numbered(place(F.get(state, k - 2)), e.a, k > 2)
+                    own = numbered(place(low), e.b, e.a < n)
+                    return F.concat(F.slice(state, 1, k - 2), F.array(left, own), F.slice(state, k + 2, F.size(state)))
 
-    def merge(state: Column, k: Column) -> Column:
-        """k: place of the pair, from 1."""
-        parts, old = state.parts, state.ranks
+                return let(F.struct(place(F.get(state, k + 1)).alias("a"), place(F.coalesce(F.get(state, k + 2), F.get(state, k + 1))).alias("b")), ends)
 
-        def joined(piece: Column) -> Column:
-            left = F.when(k > 1, F.array(rank(F.concat(F.get(parts, k - 2), piece)))).otherwise(F.array().cast("array<int>"))
-            right = F.when(k < F.size(old), F.array(rank(F.concat(piece, F.get(parts, k + 1))))).otherwise(F.array().cast("array<int>"))
-            return F.struct(
-                F.concat(F.slice(parts, 1, k - 1), F.array(piece), F.slice(parts, k + 2, F.size(parts))).alias("parts"),
-                F.concat(F.slice(old, 1, F.greatest(k - 2, F.lit(0))), left, right, F.slice(old, k + 2, F.size(old))).alias("ranks"),
-            )
+            return let(F.array_position(state, low).cast("int"), at)
 
-        return let(F.concat(F.get(parts, k - 1), F.get(parts, k)), joined)
+        def step(state: Column, _: Column) -> Column:
+            return let(F.array_min(state), lambda low: F.when(low < _NONE, merge(state, low)).otherwise(state))
 
-    def step(state: Column, _: Column) -> Column:
-        return let(F.array_min(state.ranks), lambda low: F.when(low < _NONE, let(F.array_position(state.ranks, low).cast("int"), lambda k: merge(state, k))).otherwise(state))
+        places = F.sequence(F.lit(0), n - 1)
+        start = F.concat(F.array(F.lit(_NONE)), F.transform(places, lambda i: numbered(i, i + 2, i < n - 1)), F.array(F.lit(_NONE) + n))
 
-    def folded(key: Column) -> Column:
-        parts = F.regexp_extract_all(key, F.lit(".."), F.lit(0))
-        rounds = F.sequence(F.lit(1), (F.length(key) / 2 - 1).cast("int"))
-        merged = let(parts, lambda p: F.aggregate(rounds, start(p), step, lambda s: s.parts))
-        whole = _find(ranks, key)
-        return F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(merged, lambda p: _find(ranks, p)))
+        def pieces(state: Column) -> Column:
+            starts = F.transform(F.slice(state, 2, F.size(state)), place)
+            return let(starts, lambda s: F.transform(F.slice(s, 1, F.size(s) - 1), lambda a, i: _find(ranks, F.substring(key, a + 1, F.get(s, i + 1) - a), BUCKETS)))
 
-    return let(F.hex(F.encode(word, "UTF-8")), folded)
+        merged = F.aggregate(F.slice(places, 2, n), start, step, pieces)
+        return let(_find(ranks, key, BUCKETS), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(merged))
+
+    return let(F.encode(word, "UTF-8"), folded)
 
 
 def words(text: Column, pattern: str = PATTERN) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
 
 
-def hot_words(docs: DataFrame, vocabulary: Vocabulary, pattern: str = PATTERN, most: int = HOT) -> DataFrame:
-    """One row, hot: an array of maps from a frequent word to its ids."""
-    spark = docs.sparkSession
+def _joined(strings: Column, ids: Column) -> Column:
+    return F.array_join(F.transform(ids, lambda i: F.get(strings, i)), "")
+
+
+def hot_words(docs: DataFrame, vocabulary: Vocabulary, pattern: str = PATTERN, most: int = HOT, most_bytes: int = HOT_BYTES) -> DataFrame:
+    """One row: a table from a frequent word to (ids, bytes of its ids' pieces)."""
     counts = docs.select(F.explode(words(F.col("text"), pattern)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     counts = common.materialize(counts.where("n > 1"))
-    common.release(spark)
-    least, held = 1 << 62, 0
-    for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(most).toLocalIterator():
-        if held + r.words > most:
+    common.release(docs.sparkSession)
+    least, held, size = 1 << 62, 0, 0
+    by_count = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words"), F.sum(F.octet_length("word")).alias("bytes"))
+    for r in by_count.orderBy(F.desc("n")).limit(most).toLocalIterator():
+        if held + r.words > most or size + r.bytes > most_bytes:
             break
-        least, held = r.n, held + r.words
-    chosen = counts.where(F.col("n") >= least).select("word", fold(vocabulary.ranks, F.col("word")).alias("ids"))
-    buckets = chosen.groupBy(F.pmod(F.crc32("word"), F.lit(BUCKETS * 8)).cast("long").alias("id")).agg(F.map_from_entries(F.collect_list(F.struct("word", "ids"))).alias("m"))
-    every = spark.range(BUCKETS * 8).join(buckets, "id", "left")
-    gathered = every.agg(F.array_sort(F.collect_list(F.struct("id", "m")), lambda a, b: (a.id - b.id).cast("int")).alias("rows"))
-    return common.materialize(gathered.select(F.transform("rows", lambda x: x.m).alias("hot")))
+        least, held, size = r.n, held + r.words, size + r.bytes
+    chosen = counts.where(F.col("n") >= least).repartition("word").select("word", _coded(vocabulary, F.col("word")).alias("coded"))
+    return table(chosen, "word", "coded", HOT_BUCKETS)
+
+
+def _coded(vocabulary: Vocabulary, word: Column) -> Column:
+    """(little-endian ids, bytes of their pieces) of a word, both as strings of bytes."""
+    return let(fold(vocabulary.ranks, word), lambda ids: F.struct(_joined(vocabulary.little, ids).alias("little"), _joined(vocabulary.pieces, ids).alias("decoded")))
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str = PATTERN) -> DataFrame:
-    """docs with the ids of their texts."""
+def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str = PATTERN, ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """docs with the ids of their texts, as little-endian unsigned 32-bit integers in a binary column, and if asked for with
+    the bytes that the ids stand for."""
     hot = literal(hot_words(docs.select("text"), vocabulary, pattern))
-    found = F.transform(words(F.col("text"), pattern), lambda w: F.coalesce(_find(hot, w, BUCKETS * 8), fold(vocabulary.ranks, w)))
-    return docs.withColumn("ids", F.flatten(found))
+    found = F.transform(words(F.col("text"), pattern), lambda w: F.coalesce(_find(hot, w, HOT_BUCKETS), _coded(vocabulary, w)))
 
+    def both(x: Column) -> Column:
+        little = F.array_join(F.transform(x, lambda c: c.little), "").cast("binary").alias("little")
+        return F.struct(little, *([F.array_join(F.transform(x, lambda c: c.decoded), "").cast("binary").alias("decoded")] if decoded else []))
 
-def little_endian(ids: Column, vocabulary: Vocabulary) -> Column:
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(vocabulary.little, i)), ""))
+    out = docs.withColumn("_sparkfolio_coded", let(found, both))
+    names = {ids: "little"} | ({decoded: "decoded"} if decoded else {})
+    return out.select(*docs.columns, *(F.col(f"_sparkfolio_coded.{c}").alias(n) for n, c in names.items()))
 
 
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:
-    """The bytes of the ids' pieces, in a row."""
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(vocabulary.pieces, i)), ""))
+    """The bytes of an array of ids."""
+    return _joined(vocabulary.pieces, ids).cast("binary")
 
 
 def _path(path: str | None) -> str:
@@ -157,16 +189,16 @@ def _path(path: str | None) -> str:
 
 
 def query(spark, sf_dir: str, path: str | None = None) -> DataFrame:
-    vocabulary = Vocabulary(spark, _path(path))
-    done = encode(common.read(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+    done = encode(common.read(spark, sf_dir, "documents").select("doc_id", "text"), Vocabulary(spark, _path(path)), decoded="decoded")
     return done.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(little_endian(F.col("ids"), vocabulary), 256).alias("ids_sha256"),
-        F.sha2(decode(F.col("ids"), vocabulary), 256).alias("decoded_sha256"),
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 
 
 def stage(spark, docs: DataFrame, sf_dir: str, path: str | None = None) -> DataFrame:
-    """The documents with their ids; a column `ids` that they have already is replaced."""
-    return encode(docs, Vocabulary(spark, _path(path)))
+    """The documents with their ids (packed, little-endian, 32 bits) as `ids`, or ids_1 and so on where docs has that name already."""
+    name, k = "ids", 0
+    while name in {c.lower() for c in docs.columns}:
+        k += 1
+        name = f"ids_{k}"
+    return encode(docs, Vocabulary(spark, _path(path)), ids=name)
