@@ -18,6 +18,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from . import common, windows
 
@@ -162,15 +163,16 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents; removed passages are cut from the text (with the space after them) and n_chars follows."""
+    """All documents; removed passages are cut from the text (with the space after them); a numeric n_chars follows, of any type."""
     schema = docs.schema
+    counted = "n_chars" in schema.names and isinstance(schema["n_chars"].dataType, T.NumericType)
 
     def run(batches):
         for batch in batches:
             for some in common.pieces(batch, "text"):
                 units = windows.Units("words", some.column("text"))
                 texts = some.column("text").to_pylist()
-                sizes = some.column("n_chars").to_pylist() if "n_chars" in schema.names else [None] * len(texts)
+                sizes = some.column("n_chars").to_pylist() if counted else [None] * len(texts)
                 edges = units.starts.tolist()
                 for i, cover in enumerate(some.column("_sparkfolio_cover").to_pylist()):
                     if not cover:
@@ -184,7 +186,10 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
                     out.append(units.data[at:end].tobytes())
                     texts[i] = b"".join(out).decode()
                     sizes[i] = len(texts[i])
-                yield pa.record_batch([{"text": pa.array(texts, pa.string()), "n_chars": pa.array(sizes, pa.int64())}.get(f.name, some.column(f.name)) for f in schema], names=schema.names)
+                new = {"text": pa.array(texts, pa.string())}
+                if counted:
+                    new["n_chars"] = pa.array(sizes).cast(some.schema.field("n_chars").type)
+                yield pa.record_batch([new.get(f.name, some.column(f.name)) for f in schema], names=schema.names)
 
     others = [c for c in docs.columns if c != "doc_id"]
     return common.map_arrow(windows.joined(docs, word_spans(docs), *others).select(*docs.columns, "_sparkfolio_cover"), run, schema)

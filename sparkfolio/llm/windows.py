@@ -10,7 +10,9 @@
    go to a kernel, in shards of many anchors: for each window it returns the smallest id of any chunk that contains it. Equal windows share an anchor, so shards need nothing of each other.
 4. The answers join the chunks' occurrences; windows whose owner is smaller than the document cover what goes.
 
-Rows without an id neither lose nor own anything. Repeated rows of one id do not lose to each other.
+Rows without an id neither lose nor own anything. Repeated rows of one id do not lose to each other, and texts that share an id
+lose what each shares with smaller ids alone. A text is cut and hashed in one piece: its kernels hold some 60 bytes for each of
+its own, so that a very long text needs a task of that memory.
 """
 
 from __future__ import annotations
@@ -155,7 +157,7 @@ def _shared(found: DataFrame, partitions: int) -> DataFrame:
 def _cut(docs: DataFrame, shared: DataFrame, kind: str, window: int) -> DataFrame:
     """(anchor, hash, doc, start, n, content): content once an anchor, hash and slice, else null."""
     wanted = shared.groupBy("doc").agg(F.collect_set(F.struct("start", "n", "anchor")).alias("chunks"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").join(wanted, "doc")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("own"), "text").join(wanted, "doc")
 
     def run(batches):
         for batch in batches:
@@ -183,10 +185,11 @@ def _cut(docs: DataFrame, shared: DataFrame, kind: str, window: int) -> DataFram
                 content: list[bytes | None] = [None] * len(a)
                 for i in first:
                     content[i] = units.content(row[i], start[i], int(b[i] - a[i]))
-                doc = some.column("doc").to_numpy()[row]
-                yield pa.record_batch([pa.array(anchor), pa.array(content_hash.view(np.int64)), pa.array(doc), pa.array(start, pa.int32()), pa.array(n, pa.int32()), pa.array(content, pa.binary())], names=["anchor", "hash", "doc", "start", "n", "content"])
+                doc, own = some.column("doc").to_numpy()[row], some.column("own").to_numpy()[row]
+                columns = [pa.array(anchor), pa.array(content_hash.view(np.int64)), pa.array(doc), pa.array(own), pa.array(start, pa.int32()), pa.array(n, pa.int32()), pa.array(content, pa.binary())]
+                yield pa.record_batch(columns, names=["anchor", "hash", "doc", "own", "start", "n", "content"])
 
-    return common.map_arrow(texts, run, "anchor long, hash long, doc long, start int, n int, content binary")
+    return common.map_arrow(texts, run, "anchor long, hash long, doc long, own long, start int, n int, content binary")
 
 
 _RUNS = "array<struct<a:int,b:int,owner:long>>"
@@ -273,7 +276,8 @@ def _owners(chunks: DataFrame, kind: str, window: int, kernel: Kernel, partition
 
 
 def spans(docs: DataFrame, kind: str, window: int, k: int, kernel: Kernel) -> DataFrame:
-    """(doc, spans): for each document that loses anything, the merged [a, b) of its units that go, in order."""
+    """(doc, own, cover): for each document that loses anything, the [a, b) of its units that go; own is its text's hash, which
+    tells apart the texts that share an id."""
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared = common.materialize(_shared(_anchors(docs, kind, window, k), partitions))
@@ -284,8 +288,8 @@ def spans(docs: DataFrame, kind: str, window: int, k: int, kernel: Kernel) -> Da
     common.release(spark)
     lost = F.filter("runs", lambda r: r.owner < F.col("doc"))
     cover = F.transform(lost, lambda r: F.struct((F.col("start") + r.a).alias("a"), (F.col("start") + r.b - 1 + window).alias("b")))
-    hit = chunks.select("anchor", "hash", "doc", "start").join(owners, ["anchor", "hash"]).select("doc", cover.alias("cover")).where(F.size("cover") > 0)
-    return hit.groupBy("doc").agg(F.flatten(F.collect_list("cover")).alias("cover"))
+    hit = chunks.select("anchor", "hash", "doc", "own", "start").join(owners, ["anchor", "hash"]).select("doc", "own", cover.alias("cover")).where(F.size("cover") > 0)
+    return hit.groupBy("doc", "own").agg(F.flatten(F.collect_list("cover")).alias("cover"))
 
 
 def merged(cover) -> tuple[np.ndarray, np.ndarray]:
@@ -301,5 +305,6 @@ def merged(cover) -> tuple[np.ndarray, np.ndarray]:
 
 def joined(docs: DataFrame, found: DataFrame, *columns: str) -> DataFrame:
     """docs with their spans (null: none) as _sparkfolio_cover."""
-    lost = common.materialize(found).select(F.col("doc").alias("_sparkfolio_doc"), F.col("cover").alias("_sparkfolio_cover"))
-    return docs.select("doc_id", *columns).join(lost, F.col("doc_id").cast("long") == F.col("_sparkfolio_doc"), "left").drop("_sparkfolio_doc")
+    lost = common.materialize(found).select(F.col("doc").alias("_sparkfolio_doc"), F.col("own").alias("_sparkfolio_own"), F.col("cover").alias("_sparkfolio_cover"))
+    same = (F.col("doc_id").cast("long") == F.col("_sparkfolio_doc")) & (F.xxhash64("text") == F.col("_sparkfolio_own"))
+    return docs.select("doc_id", *columns).join(lost, same, "left").drop("_sparkfolio_doc", "_sparkfolio_own")
