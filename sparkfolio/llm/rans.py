@@ -34,7 +34,7 @@ STEPS = 256
 SEGMENT = LANES * STEPS
 BLOCK = 32 * SEGMENT
 #: Bytes of text whose distinct words are looked up together.
-SLICE = 4 << 20
+SLICE = 16 << 20
 _LOW = np.uint64(1 << 31)
 _HEAD = struct.Struct("<4sIQIII")  # magic, precision, ids, segments, steps, crc32 of the rest
 

@@ -281,6 +281,50 @@ def test_repeated_and_null_ids(spark):
     assert automata.digests(docs, automata.word_spans(docs)).count() == 5
 
 
+def test_texts_that_share_an_id(spark):
+    p, q = (" ".join(f"{x}{i}" for i in range(80)) for x in "pq")
+    docs = spark.createDataFrame([(1, p, 7), (2, p, 7), (2, q, 7), (3, q, 7)], "doc_id long, text string, n_chars int")
+    assert sorted((r.doc_id, r.n_removed) for r in automata.digests(docs, automata.word_spans(docs)).collect()) == [(1, 0), (2, 0), (2, 80), (3, 80)]
+    removed = sorted((r.doc_id, r.n_removed) for r in suffix.digests(docs, suffix.byte_spans(docs)).collect())
+    assert removed == [(1, 0), (2, 0), (2, len(p)), (3, len(q))]
+    cut = {(r.doc_id, r.text): r.n_chars for r in automata.stage(spark, docs, "").collect()}
+    assert cut == {(1, p): 7, (2, ""): 0, (2, q): 7, (3, ""): 0}
+    near = sorted((r.doc_id, r.component_id) for r in minhash.near_duplicates(docs, words=4).collect())
+    assert near == [(1, 1), (2, 1), (2, 2), (3, 2)]
+    assert sorted(r.doc_id for r in minhash.stage(spark, docs, "").collect()) == [1, 2]
+
+
+def test_short_items(spark, tmp_path):
+    texts = ["we met at noon and left", "we met at noonish", "exactly thirty characters here!", "nothing"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "at noon"), (2, "exactly thirty characters here"), (3, " "), (4, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert {(r.doc_id, r.item_id) for r in decontam.query(spark, str(tmp_path)).collect()} == {(0, 1), (2, 2)}
+    docs, items = (spark.read.parquet(f"{tmp_path}/{t}.parquet") for t in ("documents", "benchmark"))
+    assert {(r.doc_id, r.item_id) for r in decontam.find(docs, items, most_bytes=8).collect()} == {(0, 1), (2, 2)}
+    assert {r.doc_id for r in decontam.clean(docs, items, most_bytes=8).collect()} == {1, 3}
+
+
+def test_added_tokens(spark, tmp_path):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    t, texts = Tokenizer.from_file(P.path("word_bpe_49k.json")), ["a <|endoftext|> b", "x<|startoftext|>y it's", "A.B, naïve\xa0c"]
+    rows = [(i, x, "en", "s", 1, *"xyzw") for i, x in enumerate(texts)]
+    got = _by_id(rans.query(spark, _write(spark, tmp_path / "t", rows)))
+    for i, x in enumerate(texts):
+        e = [*t.encode(x, add_special_tokens=False).ids, 1]
+        assert (got[i].n_tokens, got[i].ids_crc32) == (len(e), zlib.crc32(np.array(e, "<u4").tobytes()))
+
+
+def test_strange_texts_go(spark, tmp_path):
+    r = random.Random(1)
+    make = {"aa": ["lor", "em", "ip"], "bb": ["zuk", "wy", "qua"]}
+    rows = [(i, " ".join("".join(r.choice(make[x]) for _ in range(3)) for _ in range(40)), x, "s", 1, *"xyzw") for i in range(60) for x in [("aa", "bb")[i % 2]]]
+    rows += [(100, "жжж ёёё " * 30, None, "s", 1, *"xyzw"), (101, "12 34", None, "s", 1, *"xyzw"), (102, None, None, "s", 1, *"xyzw")]
+    docs = spark.read.parquet(f"{_write(spark, tmp_path / 'd', rows)}/documents.parquet")
+    assert {x.doc_id for x in langid.stage(spark, docs, "").collect()} == set(range(60))
+
+
 def test_bpe(spark, tables):
     import public_tokenizers as P
     import tiktoken
