@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkfolio.functions import dates, ids, intervals, text
-from sparkfolio.operators import evidence, explorer, gold, identity, quality, review, rules, timeline, validate
+from sparkfolio.operators import casework, evidence, explorer, gold, identity, quality, review, rules, timeline, validate
 from sparkfolio.operators.rules import Rule
 
 QUERIES: dict = {}
@@ -456,3 +456,24 @@ def q50_match_resolution(spark, d) -> DataFrame:
 def q51_benchmark_median(spark, d) -> DataFrame:
     weighted = F.round(F.sum(F.col("l_discount") * F.col("l_quantity")) / F.sum("l_quantity"), 6)
     return table(spark, d, "lineitem").groupBy("l_returnflag").agg(F.percentile("l_quantity", F.lit(0.5)).alias("median_quantity"), weighted.alias("weighted_discount"), F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT doc_id, substr(text, 501, 500) AS body, length(text) > 1000 AS more FROM documents WHERE length(text) > 500")
+def q52_section_page(spark, d) -> DataFrame:
+    docs = table(spark, d, "documents").where(F.length("text") > 500)
+    return docs.select("doc_id", text.page(F.col("text"), 2, 500).alias("body"), (F.length("text") > 1000).alias("more"))
+
+
+@query("""SELECT doc_id, len(m) AS n_tokens, coalesce(list_sum(list_transform(m, lambda x: length(x))), 0) AS n_chars FROM (SELECT doc_id, regexp_extract_all(text, '[0-9]+(?:[./:-][0-9]+)*') AS m FROM documents)""")
+def q53_numeric_tokens(spark, d) -> DataFrame:
+    found = F.regexp_extract_all("text", F.lit(gold.NUMBER), F.lit(0))
+    total = F.aggregate("m", F.lit(0).cast("long"), lambda a, x: a + F.length(x))
+    return table(spark, d, "documents").select("doc_id", found.alias("m")).select("doc_id", F.size("m").cast("long").alias("n_tokens"), total.alias("n_chars"))
+
+
+@query("""WITH s AS (SELECT conv_id, turn * 100 AS a, turn * 100 + length(text) AS b FROM conversations), m AS (SELECT *, max(b) OVER (PARTITION BY conv_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM s),
+  i AS (SELECT *, sum(CASE WHEN r IS NULL OR a > r THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS k FROM m) SELECT conv_id, min(a) AS a, max(b) AS b FROM i GROUP BY conv_id, k""")
+def q54_passage_merge(spark, d) -> DataFrame:
+    a = (F.col("turn") * 100).cast("int")
+    per = table(spark, d, "conversations").groupBy("conv_id").agg(F.collect_list(F.struct(a.alias("a"), (a + F.length("text")).alias("b"))).alias("s"))
+    return per.select("conv_id", F.explode(casework.merged(F.col("s"))).alias("x")).select("conv_id", F.col("x.a").cast("long").alias("a"), F.col("x.b").cast("long").alias("b"))
