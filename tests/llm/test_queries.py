@@ -10,7 +10,7 @@ import zlib
 import numpy as np
 import pytest
 
-from sparkfolio.llm import automata, bpe, decontam, host_rules, langid, minhash, quotes, rans, reshard, suffix
+from sparkfolio.llm import automata, bpe, common, decontam, host_rules, langid, minhash, quotes, rans, reshard, suffix
 
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, bucket string, ids string, doc string, component string"
@@ -382,3 +382,9 @@ def test_quotes_of_short_lines(spark):
     ]
     docs = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     assert {r.turn: r.parent_turn for r in quotes.link(docs).collect()} == {0: None, 1: None, 2: 0, 3: 1, 4: 2, 5: None}
+
+
+def test_powers_take_what_they_need():
+    common._POWERS.clear()
+    assert common.powers(common._BASE, 10).tolist()[:2] == [1, common._BASE] and len(common._POWERS[common._BASE]) <= 1 << 20
+    assert len(common.powers(common._BASE, 1 << 21)) == 1 << 21
