@@ -223,9 +223,10 @@ def _agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return ((differ & 15) == 0).sum(-1) + ((differ >> 4) == 0).sum(-1)
 
 
-def _pairs(entries: DataFrame, reps: DataFrame, threshold: int, partitions: int) -> DataFrame:
+def _pairs(entries: DataFrame, reps: DataFrame, sets: DataFrame, threshold: int, partitions: int) -> DataFrame:
     """(a, b) of each bucket's entries (bucket, v, n, most, component) that are in different components, fit in size and whose
-    sketches agree. They are compared in blocks where they lie; what does not agree is never a row."""
+    sketches agree. They are compared in blocks where they lie; what does not agree is never a row. Small sets, whose
+    sketches say little, are given as sets (v, shingles) and compared in full; of their links, a task gives a spanning forest."""
     least, size, block = _least_agreement(threshold), BINS // 2, 128
 
     def bucket(v, n, most, component, sketch):
@@ -239,30 +240,57 @@ def _pairs(entries: DataFrame, reps: DataFrame, threshold: int, partitions: int)
                 ok = _agreement(sketch[r], sketch[c]) >= least[np.minimum(np.minimum(n[r], n[c]), SKETCHED)]
                 yield v[r[ok]], v[c[ok]]
 
-    def settle(rows: list[np.ndarray], sketch: np.ndarray):
+    def linked(ends: np.ndarray, known: dict[int, np.ndarray], parent: dict[int, int]) -> np.ndarray:
+        """Which pairs are to be rows: those not compared in full, and links between what no link of this task joins yet."""
+
+        def top(x: int) -> int:
+            while (up := parent.get(x, x)) != x:
+                parent[x] = parent.get(up, up)
+                x = up
+            return x
+
+        keep = np.ones(ends.shape[1], bool)
+        for i, (a, b) in enumerate(ends.T.tolist()):
+            x, y = known.get(a), known.get(b)
+            if x is None or y is None:
+                continue
+            if (ra := top(a)) == (rb := top(b)):
+                keep[i] = False
+                continue
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            keep[i] = 100 * both >= threshold * (len(x) + len(y) - both)
+            if keep[i]:
+                parent[ra] = rb
+        return keep
+
+    def settle(rows: list[np.ndarray], sketch: np.ndarray, known: dict[int, np.ndarray], parent: dict[int, int]):
         edges = np.flatnonzero(np.concatenate([[True], rows[0][1:] != rows[0][:-1], [True]]))
         found = [x for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True) for x in bucket(*(r[lo:hi] for r in rows[1:]), sketch[lo:hi])]
         if found:
             ends = np.stack([np.concatenate([f[k] for f in found]) for k in (0, 1)])
             ends = np.unique(np.sort(ends, axis=0), axis=1)  # what several buckets share is one row
+            ends = ends[:, linked(ends, known, parent)]
             yield pa.record_batch([pa.array(ends[0]), pa.array(ends[1])], names=["a", "b"])
 
     def run(batches):
-        held = None
+        held, known, parent = None, {}, {}
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = [batch.column(c).to_numpy() for c in ("bucket", "v", "n", "most", "component")]
+            for v, x in zip(rows[1].tolist(), batch.column("shingles"), strict=True):
+                if v not in known and x.is_valid:
+                    known[v] = x.values.to_numpy()
             sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, size)
             if held is not None:
                 rows, sketch = [np.concatenate(x) for x in zip(held[0], rows, strict=True)], np.concatenate([held[1], sketch])
             cut = int(np.searchsorted(rows[0], rows[0][-1], side="left"))
-            yield from settle([r[:cut] for r in rows], sketch[:cut])
+            yield from settle([r[:cut] for r in rows], sketch[:cut], known, parent)
             held = [r[cut:] for r in rows], sketch[cut:]
         if held is not None:
-            yield from settle(*held)
+            yield from settle(*held, known, parent)
 
-    dealt = entries.select("bucket", "v", "n", "most", "component").join(reps.select("v", "sketch"), "v").repartition(partitions, "bucket").sortWithinPartitions("bucket")
+    dealt = entries.select("bucket", "v", "n", "most", "component").join(reps.select("v", "sketch"), "v").join(sets, "v", "left").repartition(partitions, "bucket").sortWithinPartitions("bucket")
     return common.map_arrow(dealt, run, "a long, b long").distinct()
 
 
@@ -404,7 +432,9 @@ def _finish(live: DataFrame, links: _Links) -> None:
             pairs = entries.join(centres, "bucket").where("component <> c.component and n <= c.most and c.n <= most")
             found = _agreeing(pairs.select(F.least("v", "c.v").alias("a"), F.greatest("v", "c.v").alias("b")).distinct(), links.reps, links.threshold)
         else:
-            found = _pairs(entries, links.reps, links.threshold, int(live.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+            small = links.texts(entries.where(F.col("n") < SKETCHED).select("v").distinct())
+            sets = common.materialize(full_sets(small, links.words).dropDuplicates(["v"]))
+            found = _pairs(entries, links.reps, sets, links.threshold, int(live.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         links.confirm(links.apart(found))
 
 

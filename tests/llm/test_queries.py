@@ -388,3 +388,14 @@ def test_powers_take_what_they_need():
     common._POWERS.clear()
     assert common.powers(common._BASE, 10).tolist()[:2] == [1, common._BASE] and len(common._POWERS[common._BASE]) <= 1 << 20
     assert len(common.powers(common._BASE, 1 << 21)) == 1 << 21
+
+
+def test_small_sets_are_compared_in_full_before_they_are_pairs(spark):
+    template = " ".join(f"t{i}" for i in range(62))
+    rows = [(i, f"{template} " + " ".join(f"d{i}_{j}" for j in range(9))) for i in range(60)] + [(60, f"{template} " + " ".join(f"d7_{j}" for j in range(8)) + " x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    reps = common.materialize(minhash.signed(docs, 1)).selectExpr("doc_id", "v", "n_shingles n", "sketch")
+    entries = reps.selectExpr("1L bucket", "v", "n", "1000L most", "v component")
+    sets = minhash.full_sets(docs.join(reps.select("doc_id", "v"), "doc_id").select("v", "text"), 1)
+    ids = {r.v: r.doc_id for r in reps.collect()}
+    assert [sorted((ids[r.a], ids[r.b])) for r in minhash._pairs(entries, reps.select("v", "sketch"), sets, 80, 3).collect()] == [[7, 60]]
