@@ -43,9 +43,11 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def literal(one: DataFrame) -> Column:
-    """The value of a table of one row and one column, as a literal of the plans that use it."""
+def literal(one: DataFrame, names: list[str]) -> Column:
+    """The value of a table of one row and one column, as a literal of the plans that use it. The variable that holds it is
+    added to names; forget() drops it once those plans are made."""
     spark, name = one.sparkSession, f"v_{uuid.uuid4().hex}"
+    names.append(name)
     one.createOrReplaceTempView(name)
     spark.sql(f"DECLARE VARIABLE {name} {one.schema[0].dataType.simpleString()}")
     spark.sql(f"SET VAR {name} = (SELECT * FROM {name})")
@@ -53,13 +55,20 @@ def literal(one: DataFrame) -> Column:
     return F.expr(f"session.{name}")
 
 
+def forget(spark: SparkSession, names: list[str]) -> None:
+    """Drops variables. Plans that were made with them keep their values for as long as they last themselves."""
+    while names:
+        spark.sql(f"DROP TEMPORARY VARIABLE IF EXISTS {names.pop()}")
+
+
 def load_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
 def _place(key: Column, buckets: int) -> Column:
-    return F.pmod(F.hash(key), F.lit(buckets))
+    """buckets: a power of two."""
+    return F.hash(key).bitwiseAND(F.lit(buckets - 1))
 
 
 def table(entries: DataFrame, key: str, value: str, buckets: int) -> DataFrame:
@@ -82,12 +91,13 @@ class Vocabulary:
         ranks = load_ranks(path)
         rows = pa.table({"piece": pa.array(list(ranks), pa.binary()), "rank": pa.array(list(ranks.values()), pa.int32()), "little": pa.array([r.to_bytes(4, "little") for r in ranks.values()], pa.binary())})
         pieces = spark.createDataFrame(rows)
-        self.ranks = literal(table(pieces, "piece", "rank", BUCKETS))
+        self.names: list[str] = []
+        self.ranks = literal(table(pieces, "piece", "rank", BUCKETS), self.names)
         if max(ranks.values()) + 1 != len(ranks):
             raise ValueError("ids are not gapless")
         by_id = F.array_sort(F.collect_list(F.struct("rank", F.col("little").cast("string").alias("little"), F.col("piece").cast("string").alias("piece"))), lambda a, b: a["rank"] - b["rank"])
         one = common.materialize(pieces.agg(by_id.alias("x")))
-        self.little, self.pieces = (literal(one.select(F.col(f"x.{c}"))) for c in ("little", "piece"))
+        self.little, self.pieces = (literal(one.select(F.col(f"x.{c}")), self.names) for c in ("little", "piece"))
 
 
 def fold(ranks: Column, word: Column) -> Column:
@@ -162,17 +172,19 @@ def _coded(vocabulary: Vocabulary, word: Column) -> Column:
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str = PATTERN, ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """docs with the ids of their texts, as little-endian unsigned 32-bit integers in a binary column, and if asked for with
-    the bytes that the ids stand for."""
-    hot = literal(hot_words(docs.select("text"), vocabulary, pattern))
+    the bytes that the ids stand for. The session forgets the vocabulary then."""
+    names: list[str] = []
+    hot = literal(hot_words(docs.select("text"), vocabulary, pattern), names)
     found = F.transform(words(F.col("text"), pattern), lambda w: F.coalesce(_find(hot, w, HOT_BUCKETS), _coded(vocabulary, w)))
 
     def both(x: Column) -> Column:
-        little = F.array_join(F.transform(x, lambda c: c.little), "").cast("binary").alias("little")
-        return F.struct(little, *([F.array_join(F.transform(x, lambda c: c.decoded), "").cast("binary").alias("decoded")] if decoded else []))
+        little = F.array_join(x["little"], "").cast("binary").alias("little")
+        return F.struct(little, *([F.array_join(x["decoded"], "").cast("binary").alias("decoded")] if decoded else []))
 
     out = docs.withColumn("_sparkfolio_coded", let(found, both))
-    names = {ids: "little"} | ({decoded: "decoded"} if decoded else {})
-    return out.select(*docs.columns, *(F.col(f"_sparkfolio_coded.{c}").alias(n) for n, c in names.items()))
+    forget(docs.sparkSession, names + vocabulary.names)
+    columns = {ids: "little"} | ({decoded: "decoded"} if decoded else {})
+    return out.select(*docs.columns, *(F.col(f"_sparkfolio_coded.{c}").alias(n) for n, c in columns.items()))
 
 
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:

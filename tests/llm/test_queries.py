@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.errors import AnalysisException
 
 from sparkfolio.llm import automata, bpe, common, decontam, host_rules, langid, minhash, quotes, rans, reshard, suffix
 
@@ -325,6 +326,17 @@ def test_strange_texts_go(spark, tmp_path):
     assert {x.doc_id for x in langid.stage(spark, docs, "").collect()} == set(range(60))
 
 
+def test_bpe_leaves_no_variables(spark, tmp_path, monkeypatch):
+    made = []
+    monkeypatch.setattr(bpe.uuid, "uuid4", lambda f=bpe.uuid.uuid4: made.append(f()) or made[-1])
+    spark.createDataFrame([(1, "ab ab cd")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    df = bpe.query(spark, str(tmp_path))
+    for name in [f"v_{u.hex}" for u in made]:
+        with pytest.raises(AnalysisException):
+            spark.sql(f"SELECT session.{name} IS NULL")
+    assert df.first().n_tokens > 0
+
+
 def test_bpe(spark, tables):
     import public_tokenizers as P
     import tiktoken
