@@ -5,8 +5,8 @@
    in one document only are dropped. An anchor seen in several documents of a slice of input is known to be shared there
    and then; of it one row a slice goes on to the others' detection, so a passage that a third of all documents hold is
    no hot key.
-2. The chunks left are cut from the texts; equal chunks of an anchor are one, with the smallest id that has it.
-3. Chunks of an anchor that differ, cut to the windows that they may have in common (their windows' hashes are compared),
+2. The chunks left are hashed in the texts; equal chunks of an anchor are one, with the smallest id that has it.
+3. An anchor whose chunks are all equal is the smallest id's that has it. Chunks of an anchor that differ, each read once from that id's text and cut to the windows that they may have in common (their windows' hashes are compared),
    go to a kernel, in shards of many anchors: for each window it returns the smallest id of any chunk that contains it. Equal windows share an anchor, so shards need nothing of each other.
 4. The answers join the chunks' occurrences; windows whose owner is smaller than the document cover what goes.
 
@@ -155,7 +155,7 @@ def _shared(found: DataFrame, partitions: int) -> DataFrame:
 
 
 def _cut(docs: DataFrame, shared: DataFrame, kind: str, window: int) -> DataFrame:
-    """(anchor, hash, doc, start, n, content): content once an anchor, hash and slice, else null."""
+    """(anchor, hash, doc, own, start, n) of the shared chunks, hash their contents'."""
     wanted = shared.groupBy("doc").agg(F.collect_set(F.struct("start", "n", "anchor")).alias("chunks"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("own"), "text").join(wanted, "doc")
 
@@ -181,15 +181,29 @@ def _cut(docs: DataFrame, shared: DataFrame, kind: str, window: int) -> DataFram
                     content_hash = common.run_hash(sums, a, b)
                 else:
                     content_hash = common.run_hash(prefix, a, b)
-                _, first = np.unique(np.stack([anchor.view(np.uint64), content_hash]), axis=1, return_index=True) if len(a) else (None, [])
-                content: list[bytes | None] = [None] * len(a)
-                for i in first:
-                    content[i] = units.content(row[i], start[i], int(b[i] - a[i]))
                 doc, own = some.column("doc").to_numpy()[row], some.column("own").to_numpy()[row]
-                columns = [pa.array(anchor), pa.array(content_hash.view(np.int64)), pa.array(doc), pa.array(own), pa.array(start, pa.int32()), pa.array(n, pa.int32()), pa.array(content, pa.binary())]
-                yield pa.record_batch(columns, names=["anchor", "hash", "doc", "own", "start", "n", "content"])
+                columns = [pa.array(anchor), pa.array(content_hash.view(np.int64)), pa.array(doc), pa.array(own), pa.array(start, pa.int32()), pa.array(n, pa.int32())]
+                yield pa.record_batch(columns, names=["anchor", "hash", "doc", "own", "start", "n"])
 
-    return common.map_arrow(texts, run, "anchor long, hash long, doc long, own long, start int, n int, content binary")
+    return common.map_arrow(texts, run, "anchor long, hash long, doc long, own long, start int, n int")
+
+
+def _contents(docs: DataFrame, chunks: DataFrame, kind: str, window: int) -> DataFrame:
+    """(anchor, hash, owner, content, n) of chunks (anchor, hash, first (doc, own, start), n), content from the text of first."""
+    wanted = chunks.groupBy(F.col("first.doc").alias("doc"), F.col("first.own").alias("own")).agg(F.collect_list(F.struct("anchor", "hash", "first.start", "n")).alias("chunks"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("own"), "text").join(wanted, ["doc", "own"])
+
+    def run(batches):
+        for batch in batches:
+            for some in common.pieces(batch, "text"):
+                units = Units(kind, some.column("text"))
+                chunks = some.column("chunks")
+                row = np.repeat(np.arange(some.num_rows), pc.list_value_length(chunks).to_numpy())
+                anchor, digest, start, n = (chunks.flatten().field(i) for i in range(4))
+                content = [units.content(r, a, m + window - 1) for r, a, m in zip(row.tolist(), start.to_pylist(), n.to_pylist(), strict=True)]
+                yield pa.record_batch([anchor, digest, some.column("doc").take(pa.array(row)), pa.array(content, pa.binary()), n], names=["anchor", "hash", "owner", "content", "n"])
+
+    return common.map_arrow(texts, run, "anchor long, hash long, owner long, content binary, n int")
 
 
 _RUNS = "array<struct<a:int,b:int,owner:long>>"
@@ -228,10 +242,17 @@ def _part(kind: str, content: bytes, a: int, b: int) -> bytes:
     return content[a:b] if kind == "bytes" else b" ".join(content.split(b" ")[a:b])
 
 
-def _owners(chunks: DataFrame, kind: str, window: int, kernel: Kernel, partitions: int) -> DataFrame:
-    """(anchor, hash, runs): the owner of each run of windows of each distinct chunk."""
-    # max() passes over the nulls of the other slices; equal hashes hold equal contents
-    distinct = chunks.groupBy("anchor", "hash").agg(F.min("doc").alias("owner"), F.max("content").alias("content"), F.max("n").alias("n"))
+def _owners(docs: DataFrame, chunks: DataFrame, kind: str, window: int, kernel: Kernel, partitions: int) -> DataFrame:
+    """(anchor, hash, runs): the owner of each run of windows of each distinct chunk. Contents are only read where an anchor has
+    several."""
+    known = common.materialize(chunks.groupBy("anchor", "hash").agg(F.min(F.struct("doc", "own", "start")).alias("first"), F.max("n").alias("n")))
+    several = known.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("anchor", F.lit(True).alias("several"))
+    split = common.materialize(known.join(several, "anchor", "left"))
+    common.discard(known)
+    common.release(docs.sparkSession)
+    distinct = _contents(docs, split.where("several"), kind, window)
+    runs = F.array(F.struct(F.lit(0).alias("a"), F.col("n").alias("b"), F.col("first.doc").alias("owner")))
+    whole = split.where("several is null").select("anchor", "hash", runs.alias("runs"))
 
     def answer(x: list[tuple]) -> pa.RecordBatch:
         """x: (anchor, hash, owner, content, n), anchors together. Contents are cut to the windows that others may have; cut
@@ -264,6 +285,8 @@ def _owners(chunks: DataFrame, kind: str, window: int, kernel: Kernel, partition
         held, size = [], 0
         for batch in batches:
             for r in zip(*(batch.column(c).to_pylist() for c in ("anchor", "hash", "owner", "content", "n")), strict=True):
+                if held and held[-1][:2] == r[:2]:  # of a repeated row
+                    continue
                 if size >= SHARD and held[-1][0] != r[0]:
                     yield answer(held)
                     held, size = [], 0
@@ -272,7 +295,10 @@ def _owners(chunks: DataFrame, kind: str, window: int, kernel: Kernel, partition
         if held:
             yield answer(held)
 
-    return common.map_arrow(distinct.repartition(partitions, "anchor").sortWithinPartitions("anchor"), run, f"anchor long, hash long, runs {_RUNS}")
+    owned = common.map_arrow(distinct.repartition(partitions, "anchor").sortWithinPartitions("anchor", "hash"), run, f"anchor long, hash long, runs {_RUNS}")
+    owners = common.materialize(owned.union(whole))
+    common.discard(split)
+    return owners
 
 
 def spans(docs: DataFrame, kind: str, window: int, k: int, kernel: Kernel) -> DataFrame:
@@ -283,13 +309,17 @@ def spans(docs: DataFrame, kind: str, window: int, k: int, kernel: Kernel) -> Da
     shared = common.materialize(_shared(_anchors(docs, kind, window, k), partitions))
     common.release(spark)
     chunks = common.materialize(_cut(docs, shared, kind, window))
+    common.discard(shared)
     common.release(spark)
-    owners = common.materialize(_owners(chunks, kind, window, kernel, partitions))
+    owners = _owners(docs, chunks, kind, window, kernel, partitions)
     common.release(spark)
     lost = F.filter("runs", lambda r: r.owner < F.col("doc"))
     cover = F.transform(lost, lambda r: F.struct((F.col("start") + r.a).alias("a"), (F.col("start") + r.b - 1 + window).alias("b")))
     hit = chunks.select("anchor", "hash", "doc", "own", "start").join(owners, ["anchor", "hash"]).select("doc", "own", cover.alias("cover")).where(F.size("cover") > 0)
-    return hit.groupBy("doc", "own").agg(F.flatten(F.collect_list("cover")).alias("cover"))
+    found = common.materialize(hit.groupBy("doc", "own").agg(F.flatten(F.collect_list("cover")).alias("cover")))
+    common.discard(chunks, owners)
+    common.release(spark)
+    return found
 
 
 def merged(cover) -> tuple[np.ndarray, np.ndarray]:
@@ -305,6 +335,6 @@ def merged(cover) -> tuple[np.ndarray, np.ndarray]:
 
 def joined(docs: DataFrame, found: DataFrame, *columns: str) -> DataFrame:
     """docs with their spans (null: none) as _sparkfolio_cover."""
-    lost = common.materialize(found).select(F.col("doc").alias("_sparkfolio_doc"), F.col("own").alias("_sparkfolio_own"), F.col("cover").alias("_sparkfolio_cover"))
+    lost = found.select(F.col("doc").alias("_sparkfolio_doc"), F.col("own").alias("_sparkfolio_own"), F.col("cover").alias("_sparkfolio_cover"))
     same = (F.col("doc_id").cast("long") == F.col("_sparkfolio_doc")) & (F.xxhash64("text") == F.col("_sparkfolio_own"))
     return docs.select("doc_id", *columns).join(lost, same, "left").drop("_sparkfolio_doc", "_sparkfolio_own")

@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -197,6 +198,16 @@ def test_automata(spark, tables):
         assert tuple(got[i]) == (i, len(x), int(gone.sum()), hashlib.sha256(kept).hexdigest())
 
 
+def test_passages_leave_only_their_spans(spark):
+    passage = " ".join(f"p{i}" for i in range(80))
+    docs = spark.createDataFrame([(i, f"{passage} {'x' * (i % 2)}{i}") for i in range(6)], "doc_id long, text string")
+    root = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(root.glob("llm-*/t"))
+    found = suffix.byte_spans(docs)
+    assert {r.doc for r in found.collect()} == {1, 2, 3, 4, 5}
+    assert len(set(root.glob("llm-*/t")) - before) == 1
+
+
 def test_broadcast_reference():
     r = automata.Reference([(1, "a b c d e f"), (2, "x y z")])
     assert r.spans([b"q", b"b", b"c", b"d", b"q", b"x", b"y", b"z"], 3) == [(1, 4), (5, 8)]
