@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding in Spark's higher-order functions.
 
-A text is cut by the tokenizer's pattern. A word is an array of its bytes (two hex digits each, so that joining pieces is
-joining strings); a fold merges, one after another, the leftmost pair of least rank until no pair has a rank. The rank map
-is a literal of the plan (the value of a session variable): an array of small maps, found by the piece's checksum.
+A text is cut by the tokenizer's pattern. A word is an array of the ids of its bytes; a fold merges, one after another, the
+leftmost pair of least rank until no pair has a rank. The rank map is a literal of the plan (the value of a session
+variable): ranks by the ids of a pair's two pieces, in a perfect hash table, so that the fold handles numbers alone.
 
 Distinct words are counted over all texts, and the HOT most frequent ones (a bound on size: by a count from which on they
 are at most so many) are folded once and bound likewise; the words of a text are looked up there and folded on the spot
@@ -17,7 +17,9 @@ from __future__ import annotations
 
 import base64
 import uuid
+import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,14 +30,15 @@ _SPACE = "\\x09-\\x0D\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\
 #: The pattern of the rank files with white space spelt out, as Java's \s is ASCII; alternatives that begin with
 #: different characters stand in order of frequency.
 PATTERN = rf" ?\p{{L}}++| ?\p{{N}}++|'(?:s|t|re|ve|m|ll|d)| ?[^{_SPACE}\p{{L}}\p{{N}}]++|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
-#: Places of the table of ranks, some for each piece, and of the table of frequent words.
-BUCKETS = 1 << 16
+#: Places of the table of frequent words.
 HOT_BUCKETS = 1 << 18
+#: The same of the table of pieces that no merges lead to.
+ODD_BUCKETS = 1 << 12
 #: Frequent words that are folded once and bound as a literal: at most so many, of so many bytes in all.
-HOT = 1 << 18
+HOT = 3 << 17
 HOT_BYTES = 16 << 20
-_BITS = 32
-_NONE = (1 << 30) << _BITS  # no rank: above all ranks, with room for a place
+#: Crc32 of the strings of one and of two bytes differ in these bits.
+_CRC_SHIFT, _CRC_BITS = 1, 17
 
 
 def let(value: Column, body) -> Column:
@@ -84,62 +87,161 @@ def _find(found: Column, key: Column, buckets: int) -> Column:
     return F.try_element_at(F.get(found, _place(key, buckets)), key)
 
 
+_XX = [0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5]
+
+
+def _xxhash64(x: np.ndarray, seed: np.ndarray | int = 42) -> np.ndarray:
+    """Spark's xxhash64 of longs; of several columns, each one's hash is the seed of the next."""
+
+    def turned(v: np.ndarray, n: int) -> np.ndarray:
+        return v << np.uint64(n) | v >> np.uint64(64 - n)
+
+    one, two, three, four, five = map(np.uint64, _XX)
+    with np.errstate(over="ignore"):
+        h = np.asarray(seed, np.uint64) + five + np.uint64(8)
+        h = h ^ turned(x.astype(np.uint64) * two, 31) * one
+        h = turned(h, 27) * one + four
+        h = (h ^ h >> np.uint64(33)) * two
+        h = (h ^ h >> np.uint64(29)) * three
+        return h ^ h >> np.uint64(32)
+
+
+def perfect(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A perfect hash of distinct longs: a displacement for each bucket (xxhash64 of the key), and the key's index, or -1, at each
+    place (xxhash64 of key and displacement). Both sizes are powers of two."""
+    most = 1 << max(4, 2 * len(keys) - 1).bit_length()
+    moves, places = np.zeros(most >> 3, np.int64), np.full(most, -1, np.int64)
+    first = _xxhash64(keys)
+    bucket = (first & np.uint64(len(moves) - 1)).astype(np.int64)
+    left = np.arange(len(keys))
+    for move in range(1 << 20):
+        if not len(left):
+            return moves, places
+        at = (_xxhash64(np.full(len(left), move), first[left]) & np.uint64(most - 1)).astype(np.int64)
+        bad = np.zeros(len(moves), bool)
+        bad[bucket[left[places[at] >= 0]]] = True
+        # of two buckets that want one place, the one of more keys goes first
+        size = np.bincount(bucket[left], minlength=len(moves))
+        order = np.lexsort((bucket[left], -size[bucket[left]]))
+        order = order[~bad[bucket[left[order]]]]
+        _, taken = np.unique(at[order], return_index=True)
+        lost = np.ones(len(order), bool)
+        lost[taken] = False
+        bad[bucket[left[order[lost]]]] = True
+        good = ~bad[bucket[left]]
+        places[at[good]], moves[bucket[left[good]]] = left[good], move
+        left = left[~good]
+    raise ValueError("no perfect hash was found")
+
+
 class Vocabulary:
-    """Literals: ranks (a table from pieces), and for each id its little-endian bytes and its piece, as strings of bytes."""
+    """Literals: pairs and moves (ranks by two ids in a perfect hash table), starts (by the crc32 of two bytes, or of a word's last
+    one, the pair's rank and the first byte's id), and for each id its little-endian bytes and, if asked for, its piece, as
+    strings of bytes. odd: pieces that no merges lead to, which only whole words are."""
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, decodes: bool = True):
         ranks = load_ranks(path)
-        rows = pa.table({"piece": pa.array(list(ranks), pa.binary()), "rank": pa.array(list(ranks.values()), pa.int32()), "little": pa.array([r.to_bytes(4, "little") for r in ranks.values()], pa.binary())})
-        pieces = spark.createDataFrame(rows)
-        self.names: list[str] = []
-        self.ranks = literal(table(pieces, "piece", "rank", BUCKETS), self.names)
-        if max(ranks.values()) + 1 != len(ranks):
+        n = len(ranks)
+        if sorted(ranks.values()) != list(range(n)):
             raise ValueError("ids are not gapless")
-        by_id = F.array_sort(F.collect_list(F.struct("rank", F.col("little").cast("string").alias("little"), F.col("piece").cast("string").alias("piece"))), lambda a, b: a["rank"] - b["rank"])
-        one = common.materialize(pieces.agg(by_id.alias("x")))
-        self.little, self.pieces = (literal(one.select(F.col(f"x.{c}")), self.names) for c in ("little", "piece"))
+        self.id_bits = n.bit_length()
+        self.none = 1 << self.id_bits  # no rank: above all ranks
+        self.high = 62 - self.id_bits  # a number of the fold: rank from here on, place, id
+        pairs: dict[int, int] = {}
+        for piece, rank in ranks.items():
+            for i in range(1, len(piece)):
+                a, b = ranks.get(piece[:i]), ranks.get(piece[i:])
+                if a is not None and b is not None:
+                    pairs[a << self.id_bits | b] = rank
+        single = [ranks[bytes([i])] for i in range(256)]
+        odd = [(p, r) for p, r in ranks.items() if self._merged(p, pairs, single) != [r]]
+        keys = np.array(list(pairs), np.int64)
+        moves, places = perfect(keys)
+        entries = np.where(places < 0, (1 << 63) - 1, np.append(keys << self.id_bits | np.array(list(pairs.values()), np.int64), 0)[places])
+        starts = np.zeros(1 << _CRC_BITS, np.int64)
+        for i, a in enumerate(single):
+            starts[self._crc_place(bytes([i]))] = self.none << self.high | a
+            for j, b in enumerate(single):
+                starts[self._crc_place(bytes([i, j]))] = pairs.get(a << self.id_bits | b, self.none) << self.high | a
+        self.moves_mask, self.places_mask = len(moves) - 1, len(places) - 1
+        by_id = sorted(ranks, key=ranks.get)
+        self.names: list[str] = []
+
+        def held(values, kind: pa.DataType) -> Column:
+            return literal(spark.createDataFrame(pa.table({"x": pa.array([values], pa.list_(kind))})), self.names)
+
+        def strings(values: list[bytes]) -> Column:
+            one = spark.createDataFrame(pa.table({"x": pa.array([values], pa.list_(pa.binary()))}))
+            return literal(common.materialize(one.select(F.transform("x", lambda v: v.cast("string")).alias("x"))), self.names)
 
+        self.moves, self.pairs, self.starts = (held(x, pa.int64()) for x in (moves, entries, starts))
+        self.little = strings([r.to_bytes(4, "little") for r in range(n)])
+        self.pieces = strings(by_id) if decodes else None
+        self.odd = literal(table(spark.createDataFrame(odd, "piece binary, rank int"), "piece", "rank", ODD_BUCKETS), self.names) if odd else None
 
-def fold(ranks: Column, word: Column) -> Column:
+    @staticmethod
+    def _crc_place(some: bytes) -> int:
+        return zlib.crc32(some) >> _CRC_SHIFT & (1 << _CRC_BITS) - 1
+
+    def _merged(self, piece: bytes, pairs: dict[int, int], single: list[int]) -> list[int]:
+        ids, bits = [single[x] for x in piece], self.id_bits
+        while len(ids) > 1:
+            rank, i = min((pairs.get(a << bits | b, self.none), i) for i, (a, b) in enumerate(zip(ids, ids[1:], strict=False)))
+            if rank == self.none:
+                break
+            ids[i : i + 2] = [rank]
+        return ids
+
+
+def fold(vocabulary: Vocabulary, word: Column) -> Column:
     """Ids of a word. The state is an array of its pieces, each a number: the rank of the pair that it makes with the next
-    piece, above the place of its first byte, so that the least number is the leftmost pair of least rank. The first and
-    the last piece are empty."""
+    piece, above the place of its first byte and its own id, so that the least number is the leftmost pair of least rank. The
+    first and the last number are no pieces."""
+    bits, high = vocabulary.id_bits, vocabulary.high
+    none, no_piece = vocabulary.none << high, vocabulary.none << high | vocabulary.none - 1
 
-    def folded(key: Column) -> Column:
-        n = F.length(key)
+    def id_of(x: Column) -> Column:
+        return x.bitwiseAND(F.lit((1 << bits) - 1))
+
+    def paired(a: Column, b: Column) -> Column:
+        """The rank of the pair of two ids, in its place of a number. Another pair's entry differs above the rank's bits."""
 
-        def numbered(start: Column, end: Column, real: Column) -> Column:
-            rank = F.coalesce(_find(ranks, F.substring(key, start + 1, end - start), BUCKETS).cast("long"), F.lit(1 << 30))
-            return F.when(real, F.shiftleft(rank, _BITS)).otherwise(_NONE) + start
+        def looked_up(key: Column) -> Column:
+            move = F.get(vocabulary.moves, F.xxhash64(key).bitwiseAND(F.lit(vocabulary.moves_mask)).cast("int"))
+            entry = F.get(vocabulary.pairs, F.xxhash64(key, move).bitwiseAND(F.lit(vocabulary.places_mask)).cast("int"))
+            return F.shiftleft(F.least(entry.bitwiseXOR(F.shiftleft(key, bits)), F.lit(vocabulary.none)), high)
 
-        def place(x: Column) -> Column:
-            return x.bitwiseAND(F.lit((1 << _BITS) - 1)).cast("int")
+        return let(F.shiftleft(a, bits).bitwiseOR(b), looked_up)
 
-        def merge(state: Column, low: Column) -> Column:
-            def at(k: Column) -> Column:  # k: where the pair stands, from 1; never the first, as that one has no rank
-                def ends(e: Column) -> Column:
-                    left = numbered(place(F.get(state, k - 2)), e.a, k > 2)
-                    own = numbered(place(low), e.b, e.a < n)
-                    return F.concat(F.slice(state, 1, k - 2), F.array(left, own), F.slice(state, k + 2, F.size(state)))
+    def merge(state: Column, low: Column) -> Column:
+        def at(k: Column) -> Column:  # k: where the pair stands, from 1; never the first, as that one has no rank
+            own, before = F.shiftright(low, high), F.get(state, k - 2)
+            left = paired(id_of(before), own).bitwiseOR(before.bitwiseAND(F.lit((1 << high) - 1)))
+            right = paired(own, id_of(F.get(state, k + 1))).bitwiseOR(low.bitwiseAND(F.lit((1 << high) - (1 << bits)))).bitwiseOR(own)
+            return F.concat(F.slice(state, 1, k - 2), F.array(left, right), F.slice(state, k + 2, F.size(state)))
 
-                return let(F.struct(place(F.get(state, k + 1)).alias("a"), place(F.coalesce(F.get(state, k + 2), F.get(state, k + 1))).alias("b")), ends)
+        return let(F.array_position(state, low).cast("int"), at)
 
-            return let(F.array_position(state, low).cast("int"), at)
+    def step(state: Column, _: Column) -> Column:
+        return let(F.array_min(state), lambda low: F.when(low < none, merge(state, low)).otherwise(state))
 
-        def step(state: Column, _: Column) -> Column:
-            return let(F.array_min(state), lambda low: F.when(low < _NONE, merge(state, low)).otherwise(state))
+    def folded(key: Column) -> Column:
+        places = F.sequence(F.lit(1), F.length(key))
 
-        places = F.sequence(F.lit(0), n - 1)
-        start = F.concat(F.array(F.lit(_NONE)), F.transform(places, lambda i: numbered(i, i + 2, i < n - 1)), F.array(F.lit(_NONE) + n))
+        def begun(i: Column) -> Column:
+            place = F.shiftright(F.crc32(F.substring(key, i, F.lit(2))), _CRC_SHIFT).bitwiseAND(F.lit((1 << _CRC_BITS) - 1))
+            return F.get(vocabulary.starts, place.cast("int")).bitwiseOR(F.shiftleft(i.cast("long"), bits))
 
-        def pieces(state: Column) -> Column:
-            starts = F.transform(F.slice(state, 2, F.size(state)), place)
-            return let(starts, lambda s: F.transform(F.slice(s, 1, F.size(s) - 1), lambda a, i: _find(ranks, F.substring(key, a + 1, F.get(s, i + 1) - a), BUCKETS)))
+        end = F.array(F.lit(no_piece))
+        start = F.concat(end, F.transform(places, begun), end)
+        return F.aggregate(F.slice(places, 2, F.length(key)), start, step, lambda s: F.transform(F.slice(s, 2, F.size(s) - 2), lambda x: id_of(x).cast("int")))
 
-        merged = F.aggregate(F.slice(places, 2, n), start, step, pieces)
-        return let(_find(ranks, key, BUCKETS), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(merged))
+    def coded(key: Column) -> Column:
+        if vocabulary.odd is None:
+            return folded(key)
+        return let(_find(vocabulary.odd, key, ODD_BUCKETS), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(folded(key)))
 
-    return let(F.encode(word, "UTF-8"), folded)
+    return let(F.encode(word, "UTF-8"), coded)
 
 
 def words(text: Column, pattern: str = PATTERN) -> Column:
@@ -151,7 +253,7 @@ def _joined(strings: Column, ids: Column) -> Column:
 
 
 def hot_words(docs: DataFrame, vocabulary: Vocabulary, pattern: str = PATTERN, most: int = HOT, most_bytes: int = HOT_BYTES) -> DataFrame:
-    """One row: a table from a frequent word to (ids, bytes of its ids' pieces)."""
+    """One row: a table from a frequent word to (ids, bytes of its ids' pieces if the vocabulary decodes)."""
     counts = docs.select(F.explode(words(F.col("text"), pattern)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     counts = common.materialize(counts.where("n > 1"))
     common.release(docs.sparkSession)
@@ -166,15 +268,16 @@ def hot_words(docs: DataFrame, vocabulary: Vocabulary, pattern: str = PATTERN, m
 
 
 def _coded(vocabulary: Vocabulary, word: Column) -> Column:
-    """(little-endian ids, bytes of their pieces) of a word, both as strings of bytes."""
-    return let(fold(vocabulary.ranks, word), lambda ids: F.struct(_joined(vocabulary.little, ids).alias("little"), _joined(vocabulary.pieces, ids).alias("decoded")))
+    """(little-endian ids, bytes of their pieces if the vocabulary decodes) of a word, both as strings of bytes."""
+    strings = {"little": vocabulary.little} | ({} if vocabulary.pieces is None else {"decoded": vocabulary.pieces})
+    return let(fold(vocabulary, word), lambda ids: F.struct(*(_joined(x, ids).alias(k) for k, x in strings.items())))
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str = PATTERN, ids: str = "ids", decoded: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str = PATTERN, ids: str = "ids", decoded: str | None = None, most: int = HOT) -> DataFrame:
     """docs with the ids of their texts, as little-endian unsigned 32-bit integers in a binary column, and if asked for with
     the bytes that the ids stand for. The session forgets the vocabulary then."""
     names: list[str] = []
-    hot = literal(hot_words(docs.select("text"), vocabulary, pattern), names)
+    hot = literal(hot_words(docs.select("text"), vocabulary, pattern, most), names)
     found = F.transform(words(F.col("text"), pattern), lambda w: F.coalesce(_find(hot, w, HOT_BUCKETS), _coded(vocabulary, w)))
 
     def both(x: Column) -> Column:

@@ -361,6 +361,42 @@ def test_bpe(spark, tables):
         assert tuple(got[i]) == (i, len(e), hashlib.sha256(np.array(e, "<u4").tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()), i
 
 
+def test_bpe_of_other_ranks(spark, tmp_path):
+    """Random ranks: pieces that no merges lead to, pairs of the same piece in several ways, a lower rank after a higher one."""
+    import tiktoken
+
+    r = random.Random(3)
+    pieces = {bytes([i]) for i in range(256)} | {"".join(r.choice("abé") for _ in range(r.randint(2, 6))).encode() for _ in range(150)}
+    order = r.sample(sorted(pieces), len(pieces))
+    (tmp_path / "ranks").write_text("".join(f"{base64.b64encode(p).decode()} {k}\n" for k, p in enumerate(order)))
+    encoding = tiktoken.Encoding("own", pat_str=r"\S+|\s+", mergeable_ranks={p: k for k, p in enumerate(order)}, special_tokens={})
+    texts = [" ".join("".join(r.choice("abéz") for _ in range(r.randint(1, 12))) for _ in range(60)) for _ in range(8)]
+    texts += [order[k].decode() for k in range(len(order)) if len(order[k]) > 3]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for decodes in (True, False):
+        vocabulary = bpe.Vocabulary(spark, str(tmp_path / "ranks"), decodes)
+        assert vocabulary.odd is not None
+        for row in bpe.encode(docs, vocabulary, r"\S+|\s+", decoded="decoded" if decodes else None).collect():
+            assert np.frombuffer(row.ids, "<u4").tolist() == encoding.encode_ordinary(texts[row.doc_id])
+            assert not decodes or row.decoded.decode() == texts[row.doc_id]
+
+
+def test_perfect_hash():
+    r = np.random.default_rng(5)
+    for n in (0, 1, 2, 1000, 50_000):
+        keys = r.permutation(1 << 20)[:n] * 977
+        moves, places = bpe.perfect(keys)
+        at = bpe._xxhash64(moves[(bpe._xxhash64(keys) & np.uint64(len(moves) - 1)).astype(np.int64)], bpe._xxhash64(keys)) & np.uint64(len(places) - 1)
+        assert (places[at.astype(np.int64)] == np.arange(n)).all() and (places >= 0).sum() == n
+
+
+def test_bpe_marks_of_bytes_differ():
+    some = [bytes([a]) for a in range(256)]
+    some += [a + b for a in some for b in some]
+    assert len({bpe.Vocabulary._crc_place(x) for x in some}) == len(some)
+
+
 def test_rans_query(spark, tables):
     import public_tokenizers as P
     from tokenizers import Tokenizer
