@@ -37,6 +37,8 @@ ODD_BUCKETS = 1 << 12
 #: Frequent words that are folded once and bound as a literal: at most so many, of so many bytes in all.
 HOT = 3 << 17
 HOT_BYTES = 16 << 20
+#: The same for the pipeline's stage, whose driver holds more already.
+STAGE_HOT = 1 << 17
 #: Crc32 of the strings of one and of two bytes differ in these bits.
 _CRC_SHIFT, _CRC_BITS = 1, 17
 
@@ -316,4 +318,4 @@ def stage(spark, docs: DataFrame, sf_dir: str, path: str | None = None) -> DataF
     while name in {c.lower() for c in docs.columns}:
         k += 1
         name = f"ids_{k}"
-    return encode(docs, Vocabulary(spark, _path(path)), ids=name)
+    return encode(docs, Vocabulary(spark, _path(path), decodes=False), ids=name, most=STAGE_HOT)

@@ -361,6 +361,20 @@ def test_bpe(spark, tables):
         assert tuple(got[i]) == (i, len(e), hashlib.sha256(np.array(e, "<u4").tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()), i
 
 
+def test_stage_binds_few_words_and_no_pieces(spark, tmp_path, monkeypatch):
+    import public_tokenizers as P
+    import tiktoken
+
+    seen = []
+    monkeypatch.setattr(bpe, "hot_words", lambda docs, v, pattern, most, f=bpe.hot_words: seen.append((v.pieces, most)) or f(docs, v, pattern, most))
+    monkeypatch.setattr(bpe, "STAGE_HOT", 2)
+    text = "ab ab ab ab cd cd ef ef one once"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    ids = np.frombuffer(bpe.stage(spark, docs, "").first().ids, "<u4").tolist()
+    encoding = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.load_ranks(bpe._path(None)), special_tokens={})
+    assert seen == [(None, 2)] and ids == encoding.encode_ordinary(text)
+
+
 def test_bpe_of_other_ranks(spark, tmp_path):
     """Random ranks: pieces that no merges lead to, pairs of the same piece in several ways, a lower rank after a higher one."""
     import tiktoken
