@@ -14,14 +14,11 @@ from __future__ import annotations
 
 import os
 import struct
-import unicodedata
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,7 +31,7 @@ STEPS = 256
 SEGMENT = LANES * STEPS
 BLOCK = 32 * SEGMENT
 #: Bytes of text whose distinct words are looked up together.
-SLICE = 16 << 20
+SLICE = 24 << 20
 _LOW = np.uint64(1 << 31)
 _HEAD = struct.Struct("<4sIQIII")  # magic, precision, ids, segments, steps, crc32 of the rest
 
@@ -74,16 +71,20 @@ def encode(ids: np.ndarray, freq: np.ndarray, precision: int = PRECISION) -> byt
     left = np.arange(1, segments + 1, dtype=np.int64) * room  # streams grow downwards
     state = np.full((segments, LANES), _LOW, np.uint64)
     shift, thirty_two, limit = np.uint64(precision), np.uint64(32), np.uint64(63 - precision)
+    rows, count = np.arange(segments + 1) * LANES, np.arange(segments * LANES)
     for s in range(steps - 1, -1, -1):
         symbol = symbols[:, s, :]
-        f = freq64[symbol]
-        out = state >= (f << limit)
-        rank = np.cumsum(out, axis=1)
-        left -= rank[:, -1]
-        flat[(left[:, None] + rank - 1)[out]] = state[out].astype(np.uint32)
-        state[out] >>= thirty_two
+        f = freq64.take(symbol)
+        out = np.flatnonzero(state >= (f << limit))
+        edges = np.searchsorted(out, rows)
+        n_out = np.diff(edges)
+        left -= n_out
+        full = state.reshape(-1)
+        high = full.take(out)
+        flat[np.repeat(left - edges[:-1], n_out) + count[: len(out)]] = high
+        full[out] = high >> thirty_two
         q = state // f
-        state = (q << shift) + (state - q * f) + cum64[symbol]
+        state = (q << shift) + (state - q * f) + cum64.take(symbol)
     used = np.arange(1, segments + 1, dtype=np.int64) * room - left
     body = b"".join([used.astype("<u4").tobytes(), state.astype("<u8").tobytes(), *(flat[left[j] : (j + 1) * room].astype("<u4").tobytes() for j in range(segments))])
     return _HEAD.pack(b"rans", precision, n, segments, steps, zlib.crc32(body)) + body
@@ -100,7 +101,6 @@ def decode(payload: bytes, freq: np.ndarray, first: int = 0, last: int | None =
     states = np.frombuffer(body, "<u8", segments * LANES, segments * 4).reshape(segments, LANES)
     words = np.frombuffer(body, "<u4", -1, segments * (4 + 8 * LANES))
     at = (np.cumsum(lengths) - lengths)[first:last]
-    words = np.append(words, np.uint32(0))
     state = states[first:last].astype(np.uint64)
     out = np.empty((last - first, steps, LANES), np.uint32)
     if steps:
@@ -108,15 +108,18 @@ def decode(payload: bytes, freq: np.ndarray, first: int = 0, last: int | None =
         cum64 = np.concatenate([[0], np.cumsum(freq)[:-1]]).astype(np.uint64)
         symbol_of = np.repeat(np.arange(len(freq), dtype=np.uint32), freq)
         mask, shift, thirty_two = np.uint64((1 << precision) - 1), np.uint64(precision), np.uint64(32)
+        rows, count = np.arange(last - first + 1) * LANES, np.arange((last - first) * LANES)
         for s in range(steps):
             slot = state & mask
-            symbol = symbol_of[slot]
+            symbol = symbol_of.take(slot.view(np.int64)).astype(np.int64)
             out[:, s, :] = symbol
-            state = freq64[symbol] * (state >> shift) + slot - cum64[symbol]
-            low = state < _LOW
-            rank = np.cumsum(low, axis=1)
-            state[low] = (state[low] << thirty_two) | words[(at[:, None] + rank - 1)[low]]
-            at = at + rank[:, -1]
+            state = freq64.take(symbol) * (state >> shift) + slot - cum64.take(symbol)
+            full = state.reshape(-1)
+            low = np.flatnonzero(full < _LOW)
+            edges = np.searchsorted(low, rows)
+            n_low = np.diff(edges)
+            full[low] = (full.take(low) << thirty_two) | words.take(np.repeat(at - edges[:-1], n_low) + count[: len(low)])
+            at = at + n_low
     if (state != _LOW).any():
         raise ValueError("a lane ends in a wrong state")
     return out.reshape(-1)[: max(0, min(n, last * steps * LANES) - first * steps * LANES)]
@@ -136,88 +139,128 @@ def _byte_letters() -> dict[int, str]:
     return out
 
 
-#: Letters and ASCII signs but the apostrophe: the tokenizer's pattern cuts such a word into runs of letters and runs of signs.
-_SIMPLE = regex.compile(r"[\p{L}!-&(-/:-@\[-`{-~]+")
-_RUNS = regex.compile(r"\p{L}+|[^\p{L}]+")
+def _kinds() -> np.ndarray:
+    """Of a UTF-8 byte: 1 in a letter of ASCII or U+00C0 to U+017F, 2 an ASCII sign but the apostrophe, 3 an ASCII digit, 0 any other."""
+    out = np.zeros(256, np.uint8)
+    out[33:127] = 2
+    out[[*range(65, 91), *range(97, 123), *range(0x80, 0xC0), 0xC3, 0xC4, 0xC5]] = 1
+    out[48:58] = 3
+    out[39] = 0
+    return out
+
+
+_KIND = _kinds()
+#: Second byte by first: no letters (multiplication and division signs), and a capital whose small form is two characters.
+_ODD = ((0xC3, 0x97), (0xC3, 0xB7), (0xC4, 0xB0))
+
+
+def _strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
+
+
+def _binaries(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+class Known:
+    """An Arrow table of strings and their ids (little-endian unsigned 32-bit integers), which learns the strings that it lacks.
+    When it holds more than `most` strings, or 64 bytes for each of these, it begins anew."""
+
+    def __init__(self, learn, most: int):
+        self.learn, self.most = learn, most
+        self.clear()
+
+    def clear(self) -> None:
+        self.strings, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+
+    def look_up(self, strings: pa.Array) -> pa.Array:
+        """The ids of each string; every distinct one is looked up once."""
+        coded = strings.dictionary_encode()
+        if len(self.strings) > self.most or self.strings.nbytes + self.ids.nbytes > 64 * self.most:
+            self.clear()
+        place = pc.index_in(coded.dictionary, value_set=self.strings)
+        new = pc.is_null(place)
+        unknown = coded.dictionary.filter(new)
+        at = np.array(pc.fill_null(place, 0).to_numpy(), np.int64)
+        if len(unknown):
+            at[new.to_numpy(zero_copy_only=False)] = len(self.strings) + np.arange(len(unknown))
+            self.strings, self.ids = pa.concat_arrays([self.strings, unknown]), pa.concat_arrays([self.ids, self.learn(unknown)])
+        return self.ids.take(pa.array(at[coded.indices.to_numpy()]))
 
 
 class WordTable:
-    """Ids of pieces of text between spaces, in flat arrays: the pieces as one Arrow column, their ids in a row. The tokenizer
-    drops white space, and neither a rule of its nor an added token reaches across it, so that pieces are encoded alone;
-    when there are more than `most` of them the table begins anew.
+    """Ids of words, the pieces of text between ASCII white space. The tokenizer drops white space, and neither a rule of its nor
+    an added token reaches across it, so that words are encoded alone; known ones are kept.
 
-    Letters below U+0250 in composed form are one piece to it, in lower case, and go straight to its model; so is a run of
-    ASCII signs. All else, added tokens and apostrophes among it, goes through the whole tokenizer."""
+    It takes a word of ASCII signs, digits and letters up to U+017F for runs of small letters, runs of signs and single digits,
+    each alone: these go straight to its model, many in one call. All else, added tokens and apostrophes among it, goes
+    through the whole tokenizer."""
 
     def __init__(self, path: str, most: int = 1 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.most = most
-        self.letters, self.tokenize = _byte_letters(), self.tokenizer.model.tokenize
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self._clear()
-
-    def _clear(self) -> None:
-        self.words, self.pool = pa.array([], pa.string()), np.empty(0, "<u4")
-        self.starts = np.zeros(1, np.int64)
-
-    def _alone(self, word: str) -> array:
-        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids)
-
-    def _run(self, run: str) -> array:
-        """The ids of a run of small letters, or of signs."""
-        if not run.isalpha():
-            return self._alone(run)
-        if not run.isascii():
-            run = run.encode().decode("latin-1").translate(self.letters)
-        return array("I", [t.id for t in self.tokenize(run)])
-
-    def _learn(self, words: list[str]) -> None:
-        known: dict[str, array] = {}
-        out, ends = array("I"), []
-        for w in words:
-            if not (w.isascii() or max(w) < "\u0250" and "\u0130" not in w and unicodedata.is_normalized("NFC", w)):
-                out.extend(self._alone(w))
-            elif w.isalpha():
-                out.extend(known.get(low := w.lower()) or known.setdefault(low, self._run(low)))
-            elif _SIMPLE.fullmatch(w) and not any(t in w for t in self.added):
-                for r in _RUNS.findall(w.lower()):
-                    out.extend(known.get(r) or known.setdefault(r, self._run(r)))
-            else:
-                out.extend(self._alone(w))
-            ends.append(len(out))
-        self.words = pa.concat_arrays([self.words, pa.array(words, pa.string())])
-        self.starts = np.concatenate([self.starts, len(self.pool) + np.array(ends, np.int64)])
-        self.pool = np.concatenate([self.pool, np.frombuffer(out, "<u4")])
+        letters = _byte_letters()
+        self.letters = np.array([ord(letters[b]) if b != 32 else 32 for b in range(256)], "<u2")
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.words, self.runs = Known(self._words, most // 2), Known(self._runs, most)
+
+    def _runs(self, runs: pa.Array) -> pa.Array:
+        every = np.append(np.arange(0, len(runs), 4096), len(runs))
+        data, offsets = common.text_bytes(pc.binary_join(pa.ListArray.from_arrays(pa.array(every, pa.int32()), runs), pa.scalar(" ", runs.type)))
+        texts = [self.letters[data[a:b]].tobytes().decode("utf-16-le") for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        ids = np.concatenate([np.array(e.ids, "<u4") for e in self.model.encode_batch_fast(texts, add_special_tokens=False)])
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(runs) or ends[-1] != len(ids):
+            raise ValueError("the tokenizer's model does not mark the ends of runs")
+        return _binaries(ids, 4 * np.append(0, ends))
+
+    def _whole(self, words: pa.Array) -> pa.Array:
+        ids = [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(words.to_pylist(), add_special_tokens=False)]
+        return _binaries(np.concatenate([np.empty(0, "<u4"), *ids]), 4 * np.append(0, np.cumsum([len(i) for i in ids], dtype=np.int64)))
+
+    def _words(self, words: pa.Array) -> pa.Array:
+        data, offsets = common.text_bytes(words)
+        other = _KIND[data] == 0
+        for first, second in _ODD:
+            other[1:] |= (data[:-1] == first) & (data[1:] == second)
+        before = np.append(0, np.cumsum(other))
+        plain = before[offsets[1:]] == before[offsets[:-1]]
+        for t in self.added:
+            plain &= ~pc.match_substring(words, t).to_numpy(zero_copy_only=False)
+        data, offsets = common.text_bytes(pc.utf8_lower(words.filter(pa.array(plain))))
+        kind = _KIND[data]
+        begins = np.append(True, (kind[1:] != kind[:-1]) | (kind[1:] == 3))[: len(kind)]
+        begins[offsets[:-1]] = True
+        starts = np.append(np.flatnonzero(begins), len(data))
+        ids, ends = common.text_bytes(self.runs.look_up(_strings(data, starts)))
+        found = _binaries(ids, ends[np.searchsorted(starts, offsets)])
+        order = np.empty(len(words), np.int64)
+        order[np.append(np.flatnonzero(plain), np.flatnonzero(~plain))] = np.arange(len(words))
+        return pa.concat_arrays([found, self._whole(words.filter(pa.array(~plain)))]).take(pa.array(order))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in a row, offsets by text). Each distinct piece of the slice is looked up once."""
-        pieces = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
-        counts = pc.list_value_length(pieces).to_numpy()
-        coded = pieces.flatten().dictionary_encode()
-        if len(self.words) > self.most:
-            self._clear()
-        place = pc.index_in(coded.dictionary, value_set=self.words)
-        new, at = pc.is_null(place), np.array(pc.fill_null(place, 0).to_numpy(), np.int64)
-        unknown = coded.dictionary.filter(new)
-        if len(unknown):
-            at[new.to_numpy(zero_copy_only=False)] = len(self.words) + np.arange(len(unknown))
-            self._learn(unknown.to_pylist())
-        of = at[coded.indices.to_numpy()]
-        n = (self.starts[1:] - self.starts[:-1])[of]
-        ends = np.append(0, np.cumsum(n))
-        ids = self.pool[np.arange(ends[-1]) + np.repeat(self.starts[of] - ends[:-1], n)]
-        return ids, ends[np.append(0, np.cumsum(counts))]
+        """(ids of all texts in a row, offsets by text)."""
+        data, offsets = common.text_bytes(texts)
+        starts, ends, first = common.word_spans(data, offsets)
+        inside = ~common.is_space(data)
+        ids, at = common.text_bytes(self.words.look_up(_strings(data[inside], np.append(0, np.cumsum(ends - starts)))))
+        return ids.view("<u4"), at[first] // 4
 
 
 _CACHES: dict[str, WordTable] = {}
-_BLOCKS = "part int, block int, doc_ids array<long>, lengths array<int>, ids binary"
+_BLOCKS = "part int, block int, doc_ids array<long>, lengths array<int>, ids binary, used array<int>, counts array<long>"
 
 
 def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, partitions: int) -> DataFrame:
-    """Documents in ascending id order as blocks of whole documents: (part, block, doc_ids, lengths, ids)."""
+    """Documents in ascending id order as blocks of whole documents: (part, block, doc_ids, lengths, ids), and each block's
+    distinct ids (used) with their counts."""
 
     def run(batches):
         cache = _CACHES.get(tokenizer_path) or _CACHES.setdefault(tokenizer_path, WordTable(tokenizer_path))
@@ -225,12 +268,16 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, partitions:
         end = np.array([end_id], "<u4").tobytes()
 
         def row():
+            ids = b"".join([x for _, x in held])
+            n = np.bincount(np.frombuffer(ids, "<u4"))
+            used = np.flatnonzero(n)
             return pa.record_batch(
                 [
                     pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([[d for d, _ in held]], pa.list_(pa.int64())),
-                    pa.array([[len(x) // 4 for _, x in held]], pa.list_(pa.int32())), pa.array([b"".join([x for _, x in held])], pa.binary()),
+                    pa.array([[len(x) // 4 for _, x in held]], pa.list_(pa.int32())), pa.array([ids], pa.binary()),
+                    pa.array([used], pa.list_(pa.int32())), pa.array([n[used]], pa.list_(pa.int64())),
                 ],
-                names=["part", "block", "doc_ids", "lengths", "ids"],
+                names=["part", "block", "doc_ids", "lengths", "ids", "used", "counts"],
             )
 
         for batch in batches:
@@ -255,13 +302,12 @@ def frequencies(blocks: DataFrame, vocabulary: int) -> np.ndarray:
     def count(batches):
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            data, _ = common.text_bytes(batch.column("ids"))
-            total += np.bincount(data.view("<u4"), minlength=vocabulary)
+            np.add.at(total, batch.column("used").flatten().to_numpy(), batch.column("counts").flatten().to_numpy())
         used = np.flatnonzero(total)
         yield pa.record_batch([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["id", "n"])
 
     counts = np.zeros(vocabulary, np.int64)
-    for r in common.map_arrow(blocks.select("ids"), count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+    for r in common.map_arrow(blocks.select("used", "counts"), count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
         counts[r.id] = r.n
     return normalise(counts)
 
@@ -284,7 +330,7 @@ def write(blocks: DataFrame, vocabulary: int, path: str) -> None:
             first = [starts[p] for p in batch.column("part").to_pylist()]
             yield pa.record_batch([*(batch.column(c) for c in ("part", "block", "doc_ids", "lengths")), pa.array(first, pa.int64()), pa.array(payload, pa.binary())], names=["part", "block", "doc_ids", "lengths", "part_start", "payload"])
 
-    common.map_arrow(blocks, run, _FILES).write.option("compression", "none").parquet(f"{path}/blocks")
+    common.map_arrow(blocks.select("part", "block", "doc_ids", "lengths", "ids"), run, _FILES).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
 _FILES = "part int, block int, doc_ids array<long>, lengths array<int>, part_start long, payload binary"

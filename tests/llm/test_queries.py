@@ -9,6 +9,7 @@ import zlib
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import AnalysisException
 
@@ -423,6 +424,42 @@ def test_rans_query(spark, tables):
         at += len(e)
 
 
+def test_rans_words_reach_the_library_together():
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    calls = collections.Counter()
+
+    class Counted:
+        def __init__(self, of):
+            self.of = of
+
+        def __getattr__(self, name):
+            calls[name] += 1
+            return getattr(self.of, name)
+
+    t, table = Tokenizer.from_file(P.path("word_bpe_49k.json")), rans.WordTable(P.path("word_bpe_49k.json"))
+    table.tokenizer, table.model = Counted(t), Counted(getattr(table, "model", None))
+    texts = [f"a{i} {i}.{i} q-{i}! élan{i}é's İ{i} 語{i}" for i in range(50)]
+    ids, offsets = table.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == [t.encode(x).ids for x in texts]
+    assert sum(calls.values()) <= 2
+
+
+def test_rans_words_of_any_characters():
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    t, r = Tokenizer.from_file(P.path("word_bpe_49k.json")), random.Random(4)
+    some = [chr(c) for c in range(0x250)] + list("abcXYZ'stdrvlm 09\n\t\u0301\u0308Σςẞﬁ\u2003日\U0001f600\u212b\u2c65") * 9 + ["<|endoftext|>", "</w>", "'ll"] * 5
+    texts = ["".join(r.choice(some) for _ in range(r.randint(0, 60))) for _ in range(400)] + ["", None, " \n", *(f"a{chr(c)}B{chr(c)}" for c in range(1, 0x400))]
+    for most in (1 << 20, 40):
+        table = rans.WordTable(P.path("word_bpe_49k.json"), most)
+        for some in (texts[:200], texts[100:], texts, [], [None]):
+            ids, offsets = table.encode(pa.array(some, pa.string()))
+            assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == [t.encode(x or "").ids for x in some]
+
+
 def test_rans_blocks():
     r = np.random.default_rng(1)
     for n in (0, 1, 70, rans.SEGMENT, rans.SEGMENT + 1, 3 * rans.SEGMENT - 5):
